@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statuta.llm import packing, simhash, tokens
+from statuta.llm import decontamination, licenses, packing, secrets, simhash, tokens, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+    "op2_license_scan": licenses.op2_license_scan,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_benchmark_decontamination": decontamination.op5_benchmark_decontamination,
+    "op6_toxicity": toxicity.op6_toxicity,
+    "op8_secret_scan": secrets.op8_secret_scan,
+    "op9_exact_topk": topk.op9_exact_topk,
     "op10_token_counts": tokens.op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_exact_topk": topk.ORACLE}
