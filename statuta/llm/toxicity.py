@@ -31,34 +31,42 @@ NEAR = 5
 THRESHOLD = 0.7
 
 # Second-person words of four languages.
-SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deinen deiner ihr euch euer eure tu te toi ton ta tes vous votre vos tú ti tuyo tus usted ustedes vosotros vuestro".split())
+SECOND_PERSON = frozenset(x.encode() for x in "you your yours yourself u ur du dich dir dein deine deinen deiner ihr euch euer eure tu te toi ton ta tes vous votre vos tú ti tuyo tus usted ustedes vosotros vuestro".split())
 # Characters that stand for letters in obfuscated words.
 DISGUISE = str.maketrans("013457@$!", "oieastasi")
 
-_word = re.compile(r"[^\W\d_]+").findall
+# bytes of UTF-8 that are no letters of ASCII end a word; characters beyond ASCII belong to it
+_LETTERS = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
 _mixed = re.compile(r"[^\W\d_][^\W\d_0-9@$!*#]*[0-9@$!*#]+[^\W_][^\s]*").findall
 _shout = re.compile(r"\b[A-Z]{3,}\b").findall
 _marks = re.compile(r"[!?]{2,}").findall
 _stretch = re.compile(r"([^\W\d_])\1\1+").findall
 _spaced = re.compile(r"\b(?:[^\W\d_][ .\-_*]){3,}[^\W\d_]\b").findall
+#: Classes of bytes: 1 small letter or beyond ASCII, 2 capital, 4 digit or sign that disguises, 8 separator of spaced letters.
+_CLASS = np.array([1 if c > 127 or chr(c).islower() else 2 if chr(c).isupper() else (4 if chr(c) in "0123456789@$!*#" else 0) | (8 if chr(c) in " .-_*" else 0) for c in range(256)], np.uint8)
+
+
+def words(low: str) -> list[bytes]:
+    return low.encode("utf-8", "replace").translate(_LETTERS).split()
+
 
 FEATURES = ["terms", "strong", "weight", "heaviest", "second", "hits", "kinds", "near_you", "closest", "you", "capitals", "shouts", "exclaims", "asks", "runs", "mixed", "unmasked", "stretched", "spaced", "words", "length", "digits"]
 
 
-def terms(word: str) -> tuple[str, ...]:
-    """What a word is looked up by: itself and its beginnings of 4 and 5 letters."""
-    return (word, word[:4] + "*", word[:5] + "*") if len(word) > 5 else (word, word[:4] + "*") if len(word) > 4 else (word,)
+def terms(word: bytes) -> tuple[bytes, ...]:
+    """What a word is looked up by: itself and its beginnings of 4 and 5 bytes."""
+    return (word, word[:4] + b"*", word[:5] + b"*") if len(word) > 5 else (word, word[:4] + b"*") if len(word) > 4 else (word,)
 
 
 class Lexicon(dict):
     """word -> weight, 0 for most; keeps a bounded number of looked-up words."""
 
-    def __init__(self, weights: dict[str, float]) -> None:
+    def __init__(self, weights: dict[bytes, float]) -> None:
         super().__init__()
         self.weights = weights
 
-    def __missing__(self, word: str) -> float:
-        if len(self) > 200_000:
+    def __missing__(self, word: bytes) -> float:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = max((self.weights.get(t, 0.0) for t in terms(word)), default=0.0)
         return value
@@ -68,7 +76,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     """Rates are per word or per character of the whole text; an empty text has zeros."""
     text = text or ""
     low = text.lower()
-    w = _word(low)
+    w = words(low)
     n, size = max(1, len(w)), max(1, len(text))
     weights = np.fromiter(map(lexicon.__getitem__, w), float, count=len(w))
     hit = np.flatnonzero(weights)
@@ -80,13 +88,22 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
         gap = np.minimum(np.abs(hit - you[np.minimum(k, len(you) - 1)]), np.abs(hit - you[np.maximum(k - 1, 0)]))
         near, closest = int((gap <= NEAR).sum()), 1.0 / (1.0 + float(gap.min()))
     raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-    mixed = _mixed(low)
-    unmasked = sum(any(lexicon[x] > 0 for x in _word(m.translate(DISGUISE).replace("*", ""))) for m in mixed)
+    kind = _CLASS[raw]
+    letter, capital = kind & 3 != 0, kind == 2
+    # each pattern is run only where bytes that it needs follow each other (a stretched letter counts if it is of ASCII)
+    three = lambda a, b, c: bool((a[:-2] & b[1:-1] & c[2:]).any())
+    mixed = _mixed(low) if three(letter, kind & 4 != 0, (kind & 7) != 0) else []
+    unmasked = sum(any(lexicon[x] > 0 for x in words(m.translate(DISGUISE).replace("*", ""))) for m in mixed)
+    shouts = len(_shout(text)) if three(capital, capital, capital) else 0
+    marks = len(_marks(text)) if any(x in text for x in ("!!", "??", "!?", "?!")) else 0
+    equal = raw[1:] == raw[:-1]
+    stretched = len(_stretch(low)) if (equal[1:] & equal[:-1] & letter[2:]).any() else 0
+    spaced = len(_spaced(low)) if three(kind & 8 != 0, letter, kind & 8 != 0) else 0
     return [
         len(hit) / n, float((found >= 4).sum()) / n, float(found.sum()) / n, found[0] if len(found) else 0.0, found[1] if len(found) > 1 else 0.0,
         math.log1p(len(hit)), math.log1p(len({w[i] for i in hit})), near / n, closest, len(you) / n,
-        float(((raw >= 65) & (raw <= 90)).sum()) / size, len(_shout(text)) / n, text.count("!") / size, text.count("?") / size, len(_marks(text)) / n,
-        len(mixed) / n, unmasked / n, len(_stretch(low)) / n, len(_spaced(low)) / n, math.log1p(len(w)), sum(map(len, w)) / n, float(((raw >= 48) & (raw <= 57)).sum()) / size,
+        float(((raw >= 65) & (raw <= 90)).sum()) / size, shouts / n, text.count("!") / size, text.count("?") / size, marks / n,
+        len(mixed) / n, unmasked / n, stretched / n, spaced / n, math.log1p(len(w)), sum(map(len, w)) / n, float(((raw >= 48) & (raw <= 57)).sum()) / size,
     ]
 
 
@@ -165,7 +182,7 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Scores texts; without labels of both kinds every score is the base rate."""
 
-    def __init__(self, weights: dict[str, float], x: np.ndarray, y: np.ndarray, half: np.ndarray) -> None:
+    def __init__(self, weights: dict[bytes, float], x: np.ndarray, y: np.ndarray, half: np.ndarray) -> None:
         self.weights, self.trees, self.rate = weights, None, float(y.mean()) if len(y) else 0.0
         if len(np.unique(y)) < 2:
             return
@@ -199,37 +216,44 @@ def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     return rows.withColumn("half", (F.shiftright(F.crc32(F.col("doc_id").cast("string")), 8) % 2).cast("int"))
 
 
-def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], list[dict[str, float]]]:
+def learn_lexicon(rows: DataFrame) -> tuple[dict[bytes, float], list[dict[bytes, float]]]:
     """Weights from all sample rows, and from each half."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n: Counter = Counter()
+        n: dict[tuple[int, int], Counter] = {(h, y): Counter() for h in (0, 1) for y in (0, 1)}
+
+        def flush() -> Iterator[pd.DataFrame]:
+            for (half, y), c in n.items():
+                if c:
+                    yield pd.DataFrame({"term": list(c), "half": half, "y": y, "n": list(c.values())})
+                    c.clear()
+
         for b in batches:
             for text, y, half in zip(b["text"], b["y"], b["half"]):
-                n.update((t, half, y) for t in {t for w in set(_word((text or "").lower())) for t in terms(w)})
-        if n:
-            t, half, y = zip(*n)
-            yield pd.DataFrame({"term": t, "half": half, "y": y, "n": list(n.values())})
+                n[half, y].update({t for w in set(words((text or "").lower())) for t in terms(w)})
+                if sum(map(len, n.values())) > 200_000:
+                    yield from flush()
+        yield from flush()
 
     def total(y: int, half: int) -> F.Column:
         return F.sum(F.when((F.col("y") == y) & (F.col("half") == half), F.col("n")).otherwise(0))
 
     size = {(r["half"], r["y"]): r["n"] for r in rows.groupBy("half", (F.col("y") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
-    counts = rows.select("text", (F.col("y") > 0).cast("int").alias("y"), "half").mapInPandas(count, "term string, half int, y int, n long")
+    counts = rows.select("text", (F.col("y") > 0).cast("int").alias("y"), "half").mapInPandas(count, "term binary, half int, y int, n long")
     counts = counts.groupBy("term").agg(*[total(y, h).alias(f"n{y}{h}") for y in (0, 1) for h in (0, 1)]).where(F.col("n10") + F.col("n11") >= SUPPORT)
     odds = F.log((F.col("n10") + F.col("n11") + 0.5) / (F.col("n00") + F.col("n01") + 0.5))
     toxic, clean = (sum(size.get((h, y), 0) for h in (0, 1)) for y in (1, 0))
     counts = counts.where(odds >= math.log((toxic + 1) / (clean + 1)) + ODDS)
     best = counts.orderBy(odds.desc(), (F.col("n10") + F.col("n11")).desc(), "term").limit(ENTRIES).collect()
 
-    def weights(halves: tuple[int, ...], support: int) -> dict[str, float]:
+    def weights(halves: tuple[int, ...], support: int) -> dict[bytes, float]:
         toxic, clean = (sum(size.get((h, y), 0) for h in halves) for y in (1, 0))
         out = {}
         for r in best:
             k, m = (sum(r[f"n{y}{h}"] for h in halves) for y in (1, 0))
             odds = math.log((k + 0.5) / (m + 0.5)) - math.log((toxic + 1) / (clean + 1))
             if k >= support and odds >= ODDS:
-                out[r["term"]] = odds
+                out[bytes(r["term"])] = odds
         return out
 
     return weights((0, 1), SUPPORT), [weights((h,), SUPPORT // 2) for h in (0, 1)]
