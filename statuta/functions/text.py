@@ -8,6 +8,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Glyph variants and their canonical forms.
 GLYPHS = {"∆": "Δ", "’": "'", "‘": "'", "΄": "'", "´": "'"}
@@ -90,7 +91,7 @@ def undouble(text: Column) -> Column:
     return F.when(text.rlike(r"(?U)([^\d\s])\1([^\d\s])\2([^\d\s])\3"), _tokens(text, change)).otherwise(text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _compose(text: pd.Series) -> pd.Series:
     return text.str.normalize("NFC")
 

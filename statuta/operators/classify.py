@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,37 @@ KEYWORDS = [
 PORTFOLIO = r"(?U)(?:Υπουργ\w*|Γενικ\w+\s+Γραμματ\w+|Γραμματ(?:έας|είας|έα))\s+(?:[Α-ΩΆ-Ώ][α-ωά-ώϊϋΐΰ]+\s*|και\s+|,\s*)+"
 
 
+# Volumes of the subject index by domain.
+VOLUMES = {
+    "criminal": "ΠΟΙΝΙΚΗ ΝΟΜΟΘΕΣΙΑ", "criminal_procedure": "ΠΟΙΝΙΚΗ ΔΙΚΟΝΟΜΙΑ", "civil": "ΑΣΤΙΚΗ ΝΟΜΟΘΕΣΙΑ", "civil_procedure": "ΠΟΛΙΤΙΚΗ ΔΙΚΟΝΟΜΙΑ",
+    "labor": "ΕΡΓΑΤΙΚΗ ΝΟΜΟΘΕΣΙΑ", "tax": "ΦΟΡΟΛΟΓΙΚΗ ΝΟΜΟΘΕΣΙΑ", "public_procurement": "ΔΗΜΟΣΙΕΣ ΣΥΜΒΑΣΕΙΣ", "data_protection": "ΠΡΟΣΤΑΣΙΑ ΠΡΟΣΩΠΙΚΩΝ ΔΕΔΟΜΕΝΩΝ",
+    "corporate": "ΕΜΠΟΡΙΚΗ ΝΟΜΟΘΕΣΙΑ", "insolvency": "ΕΜΠΟΡΙΚΗ ΝΟΜΟΘΕΣΙΑ", "customs": "ΤΕΛΩΝΕΙΑΚΗ ΝΟΜΟΘΕΣΙΑ", "environmental": "ΠΕΡΙΒΑΛΛΟΝΤΙΚΗ ΝΟΜΟΘΕΣΙΑ",
+    "energy": "ΕΝΕΡΓΕΙΑ", "administrative": "ΔΙΟΙΚΗΤΙΚΗ ΝΟΜΟΘΕΣΙΑ", "commercial": "ΕΜΠΟΡΙΚΗ ΝΟΜΟΘΕΣΙΑ", "constitutional": "ΣΥΝΤΑΓΜΑΤΙΚΗ ΝΟΜΟΘΕΣΙΑ",
+    "eu_law": "ΔΙΕΘΝΕΙΣ ΣΧΕΣΕΙΣ", "social_security": "ΚΟΙΝΩΝΙΚΗ ΑΣΦΑΛΙΣΗ", "health": "ΥΓΕΙΟΝΟΜΙΚΗ ΝΟΜΟΘΕΣΙΑ", "education": "ΕΚΠΑΙΔΕΥΤΙΚΗ ΝΟΜΟΘΕΣΙΑ",
+    "transport": "ΜΕΤΑΦΟΡΕΣ ΚΑΙ ΕΠΙΚΟΙΝΩΝΙΕΣ", "digital": "ΗΛΕΚΤΡΟΝΙΚΗ ΔΙΑΚΥΒΕΡΝΗΣΗ", "defense": "ΕΘΝΙΚΗ ΑΜΥΝΑ", "immigration": "ΑΛΛΟΔΑΠΟΙ ΚΑΙ ΜΕΤΑΝΑΣΤΕΥΣΗ",
+}
+# Volumes that keywords alone give, folded when used.
+MORE_VOLUMES = [
+    ("ΓΕΩΡΓΙΚΗ ΝΟΜΟΘΕΣΙΑ", ["γεωργικ", "αγροτικ"]), ("ΕΜΠΟΡΙΚΗ ΝΑΥΤΙΛΙΑ", ["ναυτιλ", "πλοίο", "λιμεν"]), ("ΕΚΚΛΗΣΙΑΣΤΙΚΗ ΝΟΜΟΘΕΣΙΑ", ["εκκλησ", "μητροπόλ", "ιερά σύνοδο"]),
+    ("ΔΗΜΟΣΙΑ ΕΡΓΑ", ["δημόσια έργα", "οδοποιί"]), ("ΟΡΓΑΝΙΣΜΟΙ ΤΟΠΙΚΗΣ ΑΥΤΟΔΙΟΙΚΗΣΗΣ", ["τοπικής αυτοδιοίκησης", "δημοτικό συμβούλιο", "περιφερειάρχ"]),
+]
+# What in a title speaks for a category, folded when used.
+SIGNALS = {
+    "amendment": ["τροποποίηση", "τροποποιείται", "τροποποιούνται", "αντικατάσταση", "αντικαθίσταται", "καταργείται"],
+    "codification": ["κωδικοποίηση", "κωδικοποιητικ", "κωδικοποιούμεν", "κώδικας"],
+    "ratification": ["κύρωση", "επικύρωση", "κυρώνεται", "συνθήκη", "πρωτόκολλο", "διεθν συμβ"],
+    "organizational": ["οργανισμός", "διάρθρωση", "σύσταση", "οργάνωση", "κατανομή θέσε"],
+    "regulatory": ["κανονισμός", "κανονιστικ", "ρύθμιση", "καθορισμός", "καθορισμ"],
+    "enforcement": ["εφαρμογή", "εκτέλεση", "εφαρμοστικ"],
+}
+
+
+def plain_fold(word: str) -> str:
+    """What ``fold`` makes of a literal."""
+    low = unicodedata.normalize("NFD", word.lower().replace("ς", "σ"))
+    return "".join(c for c in low if unicodedata.category(c) != "Mn")
+
+
 def matching(text: Column, rules: list[tuple[str, str]], flags: str = "(?iuU)") -> Column:
     """Labels whose pattern is in the text, in the order of the rules, each once."""
     return F.array_distinct(F.array_compact(F.array(*[F.when(text.rlike(flags + p), F.lit(label)) for p, label in rules])))
@@ -87,6 +120,46 @@ def join_dictionary(docs: DataFrame, dictionary: DataFrame, id_col: str, text_co
     return docs.select(id_col, labels.alias("labels"))
 
 
+def volumes(text: Column, title: Column | None = None) -> Column:
+    """Volumes of the subject index: those of the domains, then those of keywords in the text without portfolios."""
+    mapped = F.transform(domains(text, title), lambda d: _case(d, VOLUMES))
+    folded = fold(F.regexp_replace(F.coalesce(text, F.lit("")), PORTFOLIO, " "))
+    return F.array_distinct(F.concat(mapped, containing(folded, [(v, [plain_fold(w) for w in ws]) for v, ws in MORE_VOLUMES])))
+
+
+def _case(value: Column, table: dict[str, str]) -> Column:
+    out = F
+    for k, v in table.items():
+        out = out.when(value == k, v)
+    return out.otherwise(None)
+
+
+def signal(folded: Column, kind: str) -> Column:
+    return _any([folded.contains(plain_fold(w)) for w in SIGNALS[kind]])
+
+
+def document_categories(instruments: DataFrame, provisions: DataFrame) -> DataFrame:
+    """instrument_id, document_category by type, signals in the title, and the provisions' headings and books.
+
+    instruments: instrument_id, instrument_type, title. provisions: instrument_id, text, book.
+    """
+    p = provisions.groupBy("instrument_id").agg(
+        F.count_if(signal(fold(F.left(F.coalesce("text", F.lit("")), F.lit(160))), "amendment")).alias("amending"),
+        F.coalesce(F.bool_or(F.coalesce("book", F.lit("")) != ""), F.lit(False)).alias("deep"),
+    )
+    x = instruments.join(p, "instrument_id", "left").fillna({"amending": 0, "deep": False}).withColumn("__t", fold(F.coalesce("title", F.lit(""))))
+    has = lambda k: signal(F.col("__t"), k)
+    kind, deep = F.col("instrument_type"), F.col("deep")
+    law = F.when(has("ratification"), "NOMOS_RATIFICATION").when(has("codification"), "NOMOS_CODIFICATION").when(has("amendment") | (F.col("amending") >= 3), "NOMOS_AMENDMENT").when(deep, "NOMOS_CODIFICATION").otherwise("NOMOS_SUBSTANTIVE")
+    decree = F.when(has("organizational"), "PD_ORGANIZATIONAL").when(has("codification") | deep, "PD_CODIFICATION").when(has("amendment"), "PD_AMENDMENT").when(has("enforcement"), "PD_ENFORCEMENT").otherwise("PD_REGULATORY")
+    decision = F.when(has("organizational"), "YA_ORGANIZATIONAL").when(has("regulatory") | (kind == "KAN_APOFASI"), "YA_REGULATORY").otherwise("YA_INDIVIDUAL")
+    out = (
+        F.when(kind.isin("NOMOS", "AN", "ND"), law).when(kind == "PD", decree).when(kind.isin("PNP", "PSIFISMA", "KYA", "ANAKOINOSI", "PYS"), kind)
+        .when(kind.isin("YA", "KAN_APOFASI", "APOFASI_DIOIKITI", "APOFASI_PERIF", "APOFASI_NPDD"), decision).otherwise("UNKNOWN")
+    )
+    return x.select("instrument_id", out.alias("document_category"))
+
+
 def category(kind: Column, n_lines: Column, n_returned: Column, total: Column) -> Column:
     """A decision tree over a header and counts of its children; the first rule that holds names the category."""
     return F.when(n_lines == 0, "empty").when(n_returned >= 3, "codification").when((kind == "F") & (total > 200_000), "framework").when(n_returned > 0, "amending").when(kind == "P", "provisional").otherwise("ordinary")

@@ -10,18 +10,23 @@ from statuta.functions.text import strip
 
 # Actions whose edges carry text.
 CONTENTFUL = ["replaces", "adds", "modifies", "amends", "consolidates"]
-QUOTES = "«»“”\"'‘’ \n\t"
+# Actions that say nothing without a text, quotation marks, and headings that aren't a body.
+TEXTUAL = ["adds", "replaces", "consolidates", "modifies"]
+QUOTES = "«»“”„‹›‘’'\""
+STRUCTURE = r"(?U)^\s*(?:ΚΕΦΑΛΑΙΟ|Κεφάλαιο|ΤΜΗΜΑ|Τμήμα|ΜΕΡΟΣ|Μέρος)\b"
+#: Characters of a text that makes an edge without a place worth keeping.
+FRAGMENT = 25
 
 
 def unquoted(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), f"^[{QUOTES}]+|[{QUOTES}]+$", ""))
+    return strip(F.trim(strip(F.coalesce(text, F.lit(""))), F.lit(QUOTES)))
 
 
 def heading_only(text: Column) -> Column:
     """Whether a text is empty, a short line without small letters, or a short structural heading."""
-    t = unquoted(text)
-    structural = t.rlike(r"(?iuU)^(?:ΜΕΡΟΣ|ΚΕΦΑΛΑΙΟ|ΤΜΗΜΑ|ΒΙΒΛΙΟ|ΑΡΘΡΟ|ΠΑΡΑΡΤΗΜΑ|Άρθρο)\s+\S+") & (F.char_length(t) <= 40)
-    return (t == "") | (~t.rlike(r"\p{Ll}") & (F.char_length(t) <= 80)) | structural
+    t = strip(F.coalesce(text, F.lit("")))
+    n = F.char_length(t)
+    return (t == "") | (~t.rlike(r"\p{Ll}") & (n <= 80)) | (t.rlike(STRUCTURE) & (n <= 40))
 
 
 def drop_contradicted_repeals(edges: DataFrame, source: str = "source_id", target: str = "target_id") -> DataFrame:
@@ -56,11 +61,12 @@ def collapse_restatements(edges: DataFrame, target: str, order: str, shortest: i
 def clean(edges: DataFrame, own: str | None = None, order: str = "ordinal") -> DataFrame:
     """The rules in their order: edges that say nothing go, repeats go, restatements fall together, contradicted repeals go."""
     text = strip(F.coalesce("text", F.lit("")))
-    textual = F.col("action").isin(*CONTENTFUL)
-    placed = F.col("target_id").contains("#αρ.")
-    keep = ~(textual & (text == "") & ~placed) & ~((text != "") & heading_only(F.col("text"))) & ~(~F.col("resolved") & (F.char_length(text) < 25) & ~placed)
+    textual = F.col("action").isin(*TEXTUAL)
+    placed = F.coalesce("target_id", F.lit("")).contains("#αρ.")
+    keep = ~(textual & (text == "") & ~placed) & ~(textual & (text != "") & heading_only(F.col("text"))) & (placed | F.col("resolved") | (F.char_length(text) >= FRAGMENT))
     if own is not None:
-        keep = keep & ~((F.col("target_id") == own) & (text != ""))
+        own = F.col(own) if own in edges.columns else F.lit(own)
+        keep = keep & (placed | ~((F.col("target_id") == own) | F.col("target_id").startswith(F.concat(own, F.lit("#")))))
     e = dedupe(edges.where(keep), ["action", "target_id"], [order])
     return drop_contradicted_repeals(collapse_restatements(e, "target_id", order))
 
@@ -77,21 +83,25 @@ def consolidate(provisions: DataFrame, edges: DataFrame) -> DataFrame:
     return out.select("canonical_id", F.coalesce("last", "text").alias("text_in_force"), F.when(hit, F.col("text")).alias("text_as_enacted"), (F.coalesce("n", F.lit(0)) + 1).cast("int").alias("version"), F.coalesce(F.array_distinct(F.transform("by", lambda x: x["source_id"])), F.array().cast("array<string>")).alias("amended_by"))
 
 
-# Acts of the European Union, before and behind their number.
-EU_KINDS = "Κανονισμ|Οδηγί|Οδηγι|Απόφασ|Αποφασ"
+# Acts of the European Union with the body before or behind their number, and their names.
+EU_BEFORE = r"(?iuU)(Κανονισμ\w*|Οδηγί\w*|Απόφασ\w*)\s*\(?\s*(ΕΕ|ΕΚ|ΕΟΚ)\s*\)?\s*(?:αριθ\.?\s*)?(\d{1,4}/\d{2,4})"
+EU_BEHIND = r"(?iuU)(Κανονισμ\w*|Οδηγί\w*|Απόφασ\w*)\s*(\d{4}/\d{1,4})\s*/\s*(ΕΕ|ΕΚ|ΕΟΚ)"
+EU_NAMES = {"κ": "Κανονισμός", "ο": "Οδηγία", "α": "Απόφαση"}
 
 
 def eu_references(text: Column) -> Column:
-    """Acts of the European Union that a text names, prefix form first, each once, as ``ΕΕ:Κανονισμός 2022/868``."""
-    prefix = rf"(?iuU)({EU_KINDS})\w*\s*(?:\((?:ΕΕ|ΕΚ|ΕΟΚ|EE|EK|EU|EC)\)|(?:ΕΕ|ΕΚ|ΕΟΚ|EU|EC))\s*(?:αριθ\.?\s*)?(\d{{1,4}}/\d{{1,4}})"
-    postfix = rf"(?iuU)({EU_KINDS})\w*\s*(\d{{1,4}}/\d{{1,4}})\s*/\s*(?:ΕΕ|ΕΚ|ΕΟΚ|EU|EC)\b"
-    name = lambda w: F.when(w.rlike("(?iu)^κανονισμ"), "Κανονισμός").when(w.rlike("(?iu)^οδηγ"), "Οδηγία").otherwise("Απόφαση")
+    """Acts of the European Union that a text names, those with the body first before the others, each once, as ``ΕΕ:Κανονισμός 2022/868``."""
 
-    def read(pattern: str) -> Column:
-        hits = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
-        return F.transform(hits, lambda h: F.concat(F.lit("ΕΕ:"), name(F.regexp_extract(h, pattern, 1)), F.lit(" "), F.regexp_extract(h, pattern, 2)))
+    def read(pattern: str, body: int, number: int) -> Column:
+        def name(h: Column) -> Column:
+            first, out = F.lower(F.left(h, F.lit(1))), F
+            for k, v in EU_NAMES.items():
+                out = out.when(first == k, v)
+            return F.concat(F.upper(F.regexp_extract(h, pattern, body)), F.lit(":"), out.otherwise(F.regexp_extract(h, pattern, 1)), F.lit(" "), F.regexp_extract(h, pattern, number))
 
-    return F.array_distinct(F.concat(read(prefix), read(postfix)))
+        return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0)), name)
+
+    return F.array_distinct(F.concat(read(EU_BEFORE, 2, 3), read(EU_BEHIND, 3, 2)))
 
 
 def graph_status(edges: DataFrame, documents: DataFrame, sample: int = 50) -> DataFrame:
