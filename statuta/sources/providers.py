@@ -99,7 +99,8 @@ def hashed_embedding(text: Column, size: int = 1024) -> Column:
 
 def lenient_json(text: Column, schema: str) -> Column:
     """JSON in a model's answer: the whole of it, or what stands between the outermost braces."""
-    return F.coalesce(F.from_json(text, schema), F.from_json(F.regexp_extract(text, r"(?s)\{.*\}", 0), schema))
+    inner = F.regexp_extract(text, r"(?s)\{.*\}", 0)
+    return F.from_json(F.when(inner != "", inner).otherwise(text), schema)
 
 
 def nothing(text: Column) -> Column:
