@@ -42,31 +42,43 @@ def _ones(hashes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(sums).view(np.uint8).reshape(len(sums), BITS).sum(axis=0, dtype=np.int64)
 
 
-def fingerprint(text: bytes | None, words: int = 3, seed: int = 42) -> int:
-    """The SimHash of a text's word shingles: a bit is set if it is in over half of the hashes."""
+def _mix(h: np.ndarray, table: int) -> np.ndarray:
+    """The hashes of a further table: those of table 0, spread anew."""
+    if not table:
+        return h
+    h = (h ^ np.uint64(table * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
+def fingerprint(text: bytes | None, words: int = 3, seed: int = 42, tables: int = 1) -> np.ndarray:
+    """A text's SimHash over its word shingles, for each table: a bit is set if it is in over half of the hashes."""
     from xxhash import xxh64_intdigest
 
     w = (text or b"").lower().split()
     if not w:
-        return 0
+        return np.zeros(tables, np.uint64)
     shingles = map(b" ".join, zip(*(w[i:] for i in range(words)))) if len(w) >= words else iter([b" ".join(w)])
     n = max(1, len(w) - words + 1)
     hashes = map(xxh64_intdigest, shingles, repeat(seed))
-    ones = np.zeros(BITS, np.int64)
+    ones = np.zeros((tables, BITS), np.int64)
     for left in range(n, 0, -CHUNK):
-        ones += _ones(np.fromiter(hashes, np.uint64, count=min(left, CHUNK)))
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+        h = np.fromiter(hashes, np.uint64, count=min(left, CHUNK))
+        for k in range(tables):
+            ones[k] += _ones(_mix(h, k))
+    return np.packbits(2 * ones > n, axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
-def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a long); null texts count as empty, with fingerprint zero."""
+def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, tables: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fps (the bits of each table's fingerprint as a long); null texts count as empty, with fingerprints zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), words, seed) for t in b.column(1)), np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            fps = [fingerprint(t.as_py(), words, seed, tables) for t in b.column(1)]
+            flat = pa.array(np.concatenate(fps).view(np.int64) if fps else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * tables), flat)], ["doc_id", "fps"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, fps array<long>")
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,18 +159,18 @@ def _rotated(fp, start: int):
 
 
 def links(vertices: DataFrame, budget: int = 2, split: int = SPLIT) -> DataFrame:
-    """(a, b): a spanning forest, per task, of the pairs of vertices (v, fp) whose distinct fp differ in at most budget bits."""
+    """(a, b): a spanning forest, per task, of the pairs of vertices (tab, v, fp) of one table whose distinct fp differ in at most budget bits."""
     starts = [round(BITS * k / (budget + 1)) for k in range(budget + 2)]
     passes = F.explode(F.array(*[F.struct(F.lit(k).alias("pass"), _rotated(F.col("fp"), s).alias("r"), F.shiftrightunsigned(_rotated(F.col("fp"), s), BITS - (e - s)).alias("block"), F.lit(e - s).alias("width")) for k, (s, e) in enumerate(zip(starts, starts[1:]))]))
-    rows = vertices.select("v", passes.alias("x")).select("v", "x.*")
-    large = rows.groupBy("pass", "block").agg(F.count("*").alias("n")).where(F.col("n") > split).select("pass", "block", F.lit(True).alias("large"))
-    rows = rows.join(large, ["pass", "block"], "left")
+    rows = vertices.select("v", "tab", passes.alias("x")).select("v", "tab", "x.*")
+    large = rows.groupBy("tab", "pass", "block").agg(F.count("*").alias("n")).where(F.col("n") > split).select("tab", "pass", "block", F.lit(True).alias("large"))
+    rows = rows.join(large, ["tab", "pass", "block"], "left")
     masks = [m for m in range(1 << LEVELS) if m.bit_count() <= budget]
     node = F.shiftrightunsigned(F.expr("shiftleft(r, width)"), BITS - LEVELS).cast("int")
     other = F.when(F.col("large"), F.array(*map(F.lit, masks))).otherwise(F.array(F.lit(-1)))
-    rows = rows.select("v", "r", "pass", "block", "width", node.alias("node"), F.explode(other).alias("mask"))
+    rows = rows.select("v", "r", "tab", "pass", "block", "width", node.alias("node"), F.explode(other).alias("mask"))
     low = F.least(F.col("node"), F.col("node").bitwiseXOR(F.col("mask")))
-    rows = rows.select("v", "r", "pass", "block", "width", F.when(F.col("mask") < 0, F.lit(-1)).otherwise(low).alias("node"), "mask", F.when(F.col("mask") > 0, (F.col("node") != low).cast("int")).otherwise(F.lit(0)).alias("side"))
+    rows = rows.select("v", "r", "tab", "pass", "block", "width", F.when(F.col("mask") < 0, F.lit(-1)).otherwise(low).alias("node"), "mask", F.when(F.col("mask") > 0, (F.col("node") != low).cast("int")).otherwise(F.lit(0)).alias("side"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = [b for b in batches if len(b)]
@@ -166,9 +178,9 @@ def links(vertices: DataFrame, budget: int = 2, split: int = SPLIT) -> DataFrame
             return
         t = pd.concat(got, ignore_index=True)
         t["r"] = t["r"].to_numpy().view(np.uint64)
-        t = t.sort_values(["width", "mask", "pass", "block", "node", "side", "r"], ignore_index=True)
+        t = t.sort_values(["width", "mask", "tab", "pass", "block", "node", "side", "r"], ignore_index=True)
         v, fp = t["v"].to_numpy(), t["r"].to_numpy()
-        key = t[["width", "mask", "pass", "block", "node"]].to_numpy()
+        key = t[["width", "mask", "tab", "pass", "block", "node"]].to_numpy()
         first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
         last = np.append(first[1:], len(t))
         mid = first + np.add.reduceat((t["side"].to_numpy() == 0).astype(np.int64), first)
@@ -190,29 +202,34 @@ def links(vertices: DataFrame, budget: int = 2, split: int = SPLIT) -> DataFrame
             a, b = forest(*map(np.concatenate, zip(*held)))
             yield pd.DataFrame({"a": a, "b": b})
 
-    return rows.repartition("pass", "block", "node", "mask").mapInPandas(run, "a long, b long")
+    return rows.repartition("tab", "pass", "block", "node", "mask").mapInPandas(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, budget: int = 2, split: int = SPLIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: for each row the smallest id that its links reach.
+def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, budget: int = 2, tables: int = 1, split: int = SPLIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fingerprint (16 hex digits, of table 0), component_id: for each row the smallest id that its links reach.
 
-    Null texts are empty; every text without words has fingerprint zero and links like any other. A row
-    with a null id gets its fingerprint, no links, and a null component. Rows that repeat an id are
-    vertices of one id, so whatever any of them links to is shared. An empty table gives no rows; other
-    columns are not read.
+    Texts link if their fingerprints of some table differ in at most ``budget`` bits; tables hash the same
+    shingles independently. Null texts are empty; every text without words has fingerprints zero and links
+    like any other. A row with a null id gets its fingerprint, no links, and a null component. Rows that
+    repeat an id are vertices of one id, so whatever any of them links to is shared. An empty table gives
+    no rows; other columns are not read.
     """
-    base = materialize(fingerprints(docs, words, seed, id_col, text_col))
+    base = materialize(fingerprints(docs, words, seed, tables, id_col, text_col))
     known = base.where(F.col("doc_id").isNotNull())
-    same = known.groupBy("fp").agg(F.min("doc_id").alias("v"))
+    same = known.groupBy("fps").agg(F.min("doc_id").alias("v"))
     # an id that stands on several fingerprints joins their vertices
-    repeated = known.groupBy("doc_id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("doc_id")
-    joined = known.join(repeated, "doc_id").join(same, "fp").select(F.col("doc_id").alias("a"), F.col("v").alias("b"))
-    edges = links(same, budget, split).unionByName(joined)
-    label = connected_components(edges)
-    component = same.join(label, "v", "left").select("fp", F.coalesce("component", "v").alias("component_id"))
-    out = base.join(component, "fp", "left")
+    repeated = known.groupBy("doc_id").agg(F.min("fps").alias("lo"), F.max("fps").alias("hi")).where("lo <> hi").select("doc_id")
+    edges = known.join(repeated, "doc_id").join(same, "fps").select(F.col("doc_id").alias("a"), F.col("v").alias("b"))
+    each = same.select("v", F.posexplode("fps").alias("tab", "fp"))
+    if tables > 1:  # texts of different fingerprints may have equal ones in a table
+        one = each.groupBy("tab", "fp").agg(F.min("v").alias("u"))
+        edges = edges.unionByName(each.join(one, ["tab", "fp"]).where("v <> u").select(F.col("v").alias("a"), F.col("u").alias("b")))
+        each = one.select(F.col("u").alias("v"), "tab", "fp")
+    label = connected_components(links(each, budget, split).unionByName(edges))
+    component = same.join(label, "v", "left").select("fps", F.coalesce("component", "v").alias("component_id"))
+    out = base.join(component, "fps", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), component.alias("component_id"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex(F.col("fps")[0]), 16, "0")).alias("fingerprint"), component.alias("component_id"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
