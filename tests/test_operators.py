@@ -115,7 +115,7 @@ def test_two_columns_are_read_one_after_the_other(spark):
     frame = pd.DataFrame([x for p in zip(left, right) for x in p], columns=["text", "x0", "x1", "top"])
     assert layout.page_text(frame, 600).split("\n") == [f"l{k}" for k in range(10)] + [f"r{k}" for k in range(10)]
     assert layout.gutter(frame["x0"].to_numpy(), frame["x1"].to_numpy(), 600) == 310
-    words = spark.createDataFrame([("d", 1, 600.0, *map(lambda v: v.item() if hasattr(v, "item") else v, r)) for r in frame.itertuples(index=False)], "doc_id string, page int, width double, text string, x0 double, x1 double, top double")
+    words = spark.createDataFrame([("d", 1, 600.0, r[0], *map(float, r[1:])) for r in frame.itertuples(index=False)], "doc_id string, page int, width double, text string, x0 double, x1 double, top double")
     assert layout.pages_from_words(words).first()["raw_text"].startswith("l0\nl1")
 
 
