@@ -13,8 +13,9 @@ from statuta.operators import classify, edges, identify, parse
 
 @dataclass
 class Knowledge:
-    """What issues hold: instruments, provisions (in force), amendments, delegations, and the issues that go to review."""
+    """What issues hold: acts, those of them that are known (instruments), provisions (in force), amendments, delegations, and the issues that go to review."""
 
+    acts: DataFrame
     instruments: DataFrame
     provisions: DataFrame
     amendments: DataFrame
@@ -35,4 +36,4 @@ def run(issues: DataFrame) -> Knowledge:
     found = found.join(known.select("instrument_id", "title"), "instrument_id", "left")
     found = found.withColumn("legal_domain", classify.domains(F.col("text_in_force"), F.col("title"))).withColumn("domain_dkn", classify.volumes(F.col("text_in_force"), F.col("title"))).withColumn("language", txt.language(F.col("text_in_force"))).drop("title")
     categories = classify.document_categories(known, found)
-    return Knowledge(known.join(categories, "instrument_id", "left"), found, links, parse.delegations(known), review)
+    return Knowledge(acts, known.join(categories, "instrument_id", "left"), found, links, parse.delegations(known), review)

@@ -201,3 +201,39 @@ def test_the_whole_way(spark):
     assert [r["instrument_id"] for r in k.instruments.collect()] == ["ν.5090/2024"] and k.provisions.count() == 5
     assert sorted(r["action"] for r in k.amendments.collect()) == ["repeals", "replaces"]
     assert sorted(r["doc_id"] for r in k.review.collect()) == ["b", "c"] and k.delegations.count() == 0
+
+
+def test_jobs(spark, tmp_path):
+    from statuta.plans import jobs
+
+    s = files.Store(spark, str(tmp_path / "store"))
+    issues = spark.createDataFrame([("a", ISSUE), ("b", "τίποτα"), ("c", ISSUE)], "doc_id string, text string")
+    states = {r["doc_id"]: (r["status"], r["confidence"]) for r in jobs.process(s, issues).collect()}
+    assert states == {"a": ("done", 1.0), "b": ("review", None)}
+    assert {n: s.count(n) for n in ("documents", "provisions", "amendments", "delegations", "articles")} == {"documents": 1, "provisions": 5, "amendments": 2, "delegations": 0, "articles": 3}
+    jobs.process(s, issues)
+    assert s.count("states") == 2 and s.count("provisions") == 5
+    records, told = jobs.validate(issues.limit(2))
+    assert told.first()["identified"] == 1 and records.count() == 1
+
+
+def test_enrichment(spark):
+    from statuta.operators import enrich
+
+    p = spark.createDataFrame([("ν.1/2000", "ν.1/2000#αρ.1", 0, "article", "Το άρθρο 5 του ν. 2/2001 καταργείται", "2000-05-01"), ("ν.1/2000", "ν.1/2000#αρ.2", 1, "article", "Τίποτα", None)], "instrument_id string, canonical_id string, chunk_index int, chunk_type string, text string, fek_date string")
+    answer = '{"amendments":[{"action":"Repeals","scope":"x","target_law_number":"2/2001","target_law_type":"pd","target_article_number":"5","target_case":"null"},{"action":"none"},{"action":"zz","target_law_number":"1/2000","target_article_number":"3","new_text":"α"}]}'
+    e = enrich.amendments(p, lambda xs: [answer for _ in xs], "model").orderBy("target_id").collect()
+    assert [(r["action"], r["scope"], r["target_id"], r["resolved"], r["ordinal"]) for r in e] == [("amends", "article", "ν.1/2000#αρ.3", True, 0), ("repeals", "article", "π.δ.2/2001#αρ.5", False, 0)]
+    a = spark.createDataFrame([('{"type": "Νόμος", "number": 5}',), ('{"type": "Προεδρικό Διάταγμα", "number": 5}',), ("?",)], "x string").select(enrich.instrument_type(F.col("x")).alias("t")).collect()
+    assert [r["t"] and tuple(r["t"]) for r in a] == [("NOMOS", 5), ("PD", None), None]
+    rows = spark.createDataFrame([("a", None, ["k"], [], []), ("b", "s", ["k"], [], [])], "canonical_id string, chunk_summary string, keywords array<string>, domain_eurovoc array<string>, domain_dkn array<string>")
+    told = spark.createDataFrame([("a", '{"summary": "σ", "dkn": ["ΕΝΕΡΓΕΙΑ", "άλλο"]}'), ("b", "broken")], "canonical_id string, answer string")
+    got = {r["canonical_id"]: r for r in enrich.merge_facts(rows, told).collect()}
+    assert (got["a"]["chunk_summary"], got["a"]["keywords"], got["a"]["domain_dkn"]) == ("σ", ["k", "άλλο"], ["ΕΝΕΡΓΕΙΑ"]) and got["b"]["chunk_summary"] == "s"
+    t = spark.createDataFrame([("a", "| x | y |\n| 1 | 2 |"), ("b", "χωρίς")], "canonical_id string, text_in_force string")
+    n = {r[0]: r[1] for r in enrich.narrate_tables(t, lambda xs: ["αφήγηση" for _ in xs]).collect()}
+    assert n["a"].endswith("αφήγηση") and n["b"] == "χωρίς"
+    v = enrich.embed(t.unionByName(spark.createDataFrame([("c", "νόμος " * 40), ("d", "")], t.schema)), size=32, budget=50).collect()
+    assert sorted(r["canonical_id"] for r in v) == ["a", "b", "c", "d"] and all(abs(np.linalg.norm(r["vector"]) - 1) < 1e-5 for r in v if r["canonical_id"] != "d")
+    assert [r["canonical_id"] for r in enrich.rerank(t, "q", lambda q, xs: [float(len(x)) for x in xs], "canonical_id", "text_in_force", 1).collect()] == ["a"]
+    assert enrich.report(t, "canonical_id", ["canonical_id"], ["text_in_force"]).where("canonical_id = 'b'").first()["markdown"] == "## b\n- **canonical_id**: b\n\n```\nχωρίς\n```\n\n"
