@@ -462,3 +462,85 @@ FROM (SELECT doc_id, lang, sha256(regexp_replace(lower(text), '[^a-z]+', '', 'g'
 def twin_dedupe(spark, d):
     key = F.sha2(F.regexp_replace(F.lower("text"), "[^a-z]+", ""), 256)
     return search.without_twins(t(spark, d, "documents"), key, F.col("lang") == "en", "doc_id")
+
+
+# --- aggregates, sets, windows that the engine gives for free ---------------------------------------
+
+
+@query("SELECT o_orderstatus, count(*) FILTER (o_orderpriority = '1-URGENT') AS urgent, count(*) FILTER (o_orderpriority = '2-HIGH') AS high, count(*) AS n FROM orders GROUP BY 1")
+def chunk_histogram(spark, d):
+    o = t(spark, d, "orders")
+    return o.groupBy("o_orderstatus").agg(F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"), F.count_if(F.col("o_orderpriority") == "2-HIGH").alias("high"), F.count("*").alias("n"))
+
+
+@query("SELECT c_nationkey, array_to_string(list_sort(list(DISTINCT c_mktsegment)), ',') AS segments FROM customer GROUP BY 1")
+def distinct_domains(spark, d):
+    c = t(spark, d, "customer").groupBy("c_nationkey").agg(F.sort_array(F.collect_set("c_mktsegment")).alias("s"))
+    return c.select("c_nationkey", F.array_join("s", ",").alias("segments"))
+
+
+@query("SELECT l_returnflag, l_linestatus, GROUPING(l_returnflag) + GROUPING(l_linestatus) AS level, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)")
+def grouping_sets(spark, d):
+    c = t(spark, d, "lineitem").cube("l_returnflag", "l_linestatus").agg((F.grouping("l_returnflag") + F.grouping("l_linestatus")).cast("long").alias("level"), F.count("*").alias("n"), F.sum("l_linenumber").cast("long").alias("lines"))
+    return c.select("l_returnflag", "l_linestatus", "level", "n", "lines")
+
+
+@query("""SELECT 'both' AS kind, k FROM (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal < 0 INTERSECT SELECT s_nationkey FROM supplier)
+UNION ALL SELECT 'customers', k FROM (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal < 0 EXCEPT SELECT s_nationkey FROM supplier)
+UNION ALL SELECT 'suppliers', k FROM (SELECT DISTINCT s_nationkey AS k FROM supplier EXCEPT SELECT c_nationkey FROM customer WHERE c_acctbal < 0)""")
+def set_operations(spark, d):
+    c = t(spark, d, "customer").where("c_acctbal < 0").select(F.col("c_nationkey").alias("k"))
+    s = t(spark, d, "supplier").select(F.col("s_nationkey").alias("k"))
+    return c.intersect(s).select(F.lit("both").alias("kind"), "k").unionByName(c.subtract(s).select(F.lit("customers").alias("kind"), "k")).unionByName(s.subtract(c).select(F.lit("suppliers").alias("kind"), "k"))
+
+
+@query("""SELECT o_custkey, o_orderkey, ntile(4) OVER w AS quarter, round(percent_rank() OVER w, 9) AS share, lag(o_orderkey) OVER w AS before, count(*) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS near
+FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)""")
+def window_frames(spark, d):
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    return t(spark, d, "orders").select("o_custkey", "o_orderkey", F.ntile(4).over(w).cast("long").alias("quarter"), F.round(F.percent_rank().over(w), 9).alias("share"), F.lag("o_orderkey").over(w).alias("before"), F.count("*").over(w.rowsBetween(-2, 0)).alias("near"))
+
+
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') AND EXISTS (SELECT 1 FROM nation WHERE n_nationkey = c_nationkey AND n_regionkey = 1)")
+def dangling_targets(spark, d):
+    c = t(spark, d, "customer").join(t(spark, d, "orders").where("o_orderstatus = 'F'"), F.col("o_custkey") == F.col("c_custkey"), "left_anti")
+    return c.join(t(spark, d, "nation").where("n_regionkey = 1"), F.col("n_nationkey") == F.col("c_nationkey"), "left_semi").select("c_custkey")
+
+
+@query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2")
+def daily_activity(spark, d):
+    e = t(spark, d, "events").groupBy(F.window(F.col("ts").cast("timestamp"), "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+    return e.select(F.to_date("w.start").alias("day"), "event_type", "n", "users")
+
+
+@query("""SELECT row_number() OVER (ORDER BY CASE WHEN l_linenumber IS NULL THEN 1 ELSE 0 END, l_linenumber, l_orderkey, l_partkey, l_suppkey, l_extendedprice) AS place, l_orderkey, l_linenumber
+FROM lineitem WHERE l_partkey < 20 ORDER BY place LIMIT 100""")
+def inspect_order(spark, d):
+    rows = t(spark, d, "lineitem").where("l_partkey < 20").orderBy(F.col("l_linenumber").isNull(), "l_linenumber", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice").limit(100)
+    w = Window.orderBy("l_linenumber", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")  # a hundred rows
+    return rows.select(F.row_number().over(w).cast("long").alias("place"), "l_orderkey", "l_linenumber")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00Z' AS at, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders")
+def rfc3339_dates(spark, d):
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return t(spark, d, "orders").select("o_orderkey", keys.rfc3339(day).alias("at"), F.left(day, F.lit(4)).cast("int").alias("year"))
+
+
+@query("SELECT page_id, CASE WHEN length(url) <= 8 THEN 'set(len=' || length(url) || ')' ELSE left(url, 4) || '…' || right(url, 4) || ' (len=' || length(url) || ')' END AS masked FROM pages")
+def mask_secrets(spark, d):
+    return t(spark, d, "pages").select("page_id", text.mask(F.col("url")).alias("masked"))
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN true ELSE false END AS fatal FROM events")
+def fatal_errors(spark, d):
+    from statuta.sources.providers import is_fatal
+
+    said = F.when(F.col("event_type") == "error", F.when(F.col("event_id") % 2 == 0, "401 unauthorized").otherwise("429 too many requests")).otherwise("fine")
+    return t(spark, d, "events").select("event_id", is_fatal(said).alias("fatal"))
+
+
+@query("SELECT doc_id, CAST(greatest(1, floor(n_chars / 1.5)) AS INTEGER) AS tokens, CAST(ceil(n_chars / 2000.0) AS INTEGER) AS pieces FROM documents WHERE n_chars > 0")
+def wrap_sizes(spark, d):
+    docs = t(spark, d, "documents").where("n_chars > 0")
+    return docs.select("doc_id", chunks.estimated_tokens(F.col("n_chars")).alias("tokens"), F.size(chunks.hard_wrap(F.col("text"), 2000)).alias("pieces"))
