@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statuta.functions import keys
@@ -38,24 +38,27 @@ def drop_contradicted_repeals(edges: DataFrame, source: str = "source_id", targe
 
 
 def dedupe(edges: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """The first edge of each key, and of the first 120 characters of its text."""
+    """The first edge of each key, and of the first 120 characters of its text: a minimum a key, combined before the shuffle."""
     head = F.left(F.coalesce("text", F.lit("")), F.lit(120))
-    rank = F.row_number().over(Window.partitionBy(*by, head).orderBy(*order))
-    return edges.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    rest = [c for c in edges.columns if c not in (*by, *order)]
+    first = edges.select(*by, head.alias("__head"), F.struct(*order, *rest).alias("__x")).groupBy(*by, "__head").agg(F.min("__x").alias("__x"))
+    return first.select(*by, "__x.*").select(*edges.columns)
 
 
 def collapse_restatements(edges: DataFrame, target: str, order: str, shortest: int = 6) -> DataFrame:
     """Within a target: without empty contentful edges where a sibling has text, and without texts that stand inside a longer sibling's.
 
-    The containment join runs inside a target and only between edges of different length, longest kept.
+    The containment join runs inside a target, over its distinct texts only, and between texts of different length, longest kept.
     """
-    t = edges.withColumn("__t", unquoted(F.col("text")))
     contentful = F.col("action").isin(*CONTENTFUL)
-    has = F.max((contentful & (F.col("__t") != "")).cast("int")).over(Window.partitionBy(target))
-    t = t.withColumn("__has", has).where(~(contentful & (F.col("__t") == "") & (F.col("__has") == 1))).drop("__has")
-    longer = t.where(F.char_length("__t") > shortest).select(F.col(target).alias("__k"), F.col("__t").alias("__long")).distinct()
-    inside = (F.col(target) == F.col("__k")) & (F.char_length("__t") >= shortest) & (F.char_length("__t") < F.char_length("__long")) & F.col("__long").contains(F.col("__t"))
-    return t.join(longer, inside, "left_anti").select(*edges.columns)
+    t = edges.withColumn("__t", unquoted(F.col("text")))
+    has = t.where(contentful & (F.col("__t") != "")).select(F.col(target).alias("__h")).distinct().withColumn("__has", F.lit(True))
+    t = t.join(has, t[target] == F.col("__h"), "left").where(~(contentful & (F.col("__t") == "") & F.coalesce("__has", F.lit(False)))).drop("__h", "__has")
+    texts = t.where(F.char_length("__t") >= shortest).select(F.col(target).alias("__k"), F.col("__t").alias("__s")).distinct()
+    longer = texts.where(F.char_length("__s") > shortest).select(F.col("__k").alias("__l"), F.col("__s").alias("__long"))
+    inside = (F.col("__k") == F.col("__l")) & (F.char_length("__s") < F.char_length("__long")) & F.col("__long").contains(F.col("__s"))
+    within = texts.join(longer, inside, "left_semi")
+    return t.join(within, (t[target] == F.col("__k")) & (F.col("__t") == F.col("__s")), "left_anti").select(*edges.columns)
 
 
 def clean(edges: DataFrame, own: str | None = None, order: str = "ordinal") -> DataFrame:
