@@ -131,6 +131,11 @@ def strip_furniture(text: Column) -> Column:
     return strip(text)
 
 
+def count_of(text: Column, characters: str) -> Column:
+    """How many of a class of characters a text has: what removing their runs takes away, so no match becomes a string."""
+    return F.char_length(text) - F.char_length(F.regexp_replace(text, characters + "+", ""))
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
 
@@ -144,7 +149,7 @@ def cid_ratio(text: Column) -> Column:
 def language(text: Column) -> Column:
     """el, en or mixed, by the share of Latin among Greek and Latin letters; el without letters."""
     t = F.coalesce(text, F.lit(""))
-    greek, latin = F.regexp_count(t, F.lit(GREEK)), F.regexp_count(t, F.lit(LATIN))
+    greek, latin = count_of(t, GREEK), count_of(t, LATIN)
     share = latin / F.nullif(greek + latin, F.lit(0))
     return F.when(share.isNull() | (share < 0.15), "el").when(share > 0.85, "en").otherwise("mixed")
 

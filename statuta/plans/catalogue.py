@@ -54,7 +54,7 @@ FROM (SELECT doc_id, CAST(length(regexp_replace(text, '[^\x{0370}-\x{03FF}\x{1F0
              CAST(length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS INTEGER) AS latin FROM documents)""")
 def language_ratio(spark, d):
     x = F.col("text")
-    return t(spark, d, "documents").select("doc_id", F.regexp_count(x, F.lit(text.GREEK)).alias("n_greek"), F.regexp_count(x, F.lit(text.LATIN)).alias("n_latin"), text.language(x).alias("language"))
+    return t(spark, d, "documents").select("doc_id", text.count_of(x, text.GREEK).alias("n_greek"), text.count_of(x, text.LATIN).alias("n_latin"), text.language(x).alias("language"))
 
 
 @query(r"""
