@@ -38,8 +38,8 @@ FURNITURE = [
     (r"[ \t]+", " "),
     (r"\n[ \t]*\n(?:[ \t]*\n)+", "\n\n"),
 ]
-#: Spaces as Python's ``strip`` sees them, for trimming both ends.
-_ENDS = r"(?U)^\s+|\s+$"
+#: Every character that counts as a space, for trimming both ends.
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 @lru_cache(maxsize=1)
@@ -54,7 +54,7 @@ def _accents() -> tuple[str, str]:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, _ENDS, "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def _swap(text: Column, table: dict[str, str]) -> Column:

@@ -71,9 +71,13 @@ def pack(blocks: Column, target: int = TARGET) -> Column:
 
 def sections(text: Column, target: int = TARGET) -> Column:
     """A text in sections at paragraph boundaries; a short one stays whole."""
-    body = strip(text)
-    packed = pack(paragraphs(body), target)
-    return F.when(F.char_length(body) <= target, F.array(body)).when(F.size(packed) > 0, packed).otherwise(F.array(body))
+
+    def of(body: Column) -> Column:
+        long = F.transform(F.array(pack(paragraphs(body), target)), lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(body)))
+        return F.when(F.char_length(body) <= target, F.array(body)).otherwise(F.get(long, F.lit(0)))
+
+    # the stripped text and its packed sections are bound, so that each is made once
+    return F.get(F.transform(F.array(strip(text)), of), F.lit(0))
 
 
 def estimated_tokens(n_chars: Column) -> Column:
