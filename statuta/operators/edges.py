@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from statuta.functions import keys
 from statuta.functions.text import strip
+from statuta.operators.store import beside
 
 # Actions whose edges carry text.
 CONTENTFUL = ["replaces", "adds", "modifies", "amends", "consolidates"]
@@ -119,7 +120,7 @@ def graph_status(edges: DataFrame, documents: DataFrame, sample: int = 50) -> Da
     totals = e.agg(F.count("*").alias("total"), n(named & F.col("__known").isNotNull()).alias("present"), n(named & F.col("__known").isNull()).alias("missing"), n(F.col("effective_date").isNull()).alias("undated"), n(~F.col("resolved")).alias("unresolved"))
     names = e.where(named & F.col("__known").isNull()).select("target_law").distinct().orderBy("target_law").limit(sample)
     listed = names.agg(F.array_join(F.sort_array(F.collect_list("target_law")), ",").alias("missing_laws"))
-    return totals.crossJoin(listed)  # one row each
+    return beside(totals, listed)
 
 
 def outside(points: DataFrame, spans: DataFrame, key: str, at: str) -> DataFrame:

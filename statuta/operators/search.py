@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statuta.operators.store import beside
+
 B, K1 = 0.3, 1.5
 
 
@@ -42,7 +44,7 @@ def bm25(docs: DataFrame, terms: list[str], id_col: str, text_col: str, k: int |
     tf = [F.size(F.filter("toks", lambda w: w == F.lit(t))).alias(f"tf{i}") for i, t in enumerate(terms)]
     d = d.select("id", F.size("toks").alias("len"), *tf)
     stats = d.agg(F.count("*").alias("n"), F.avg("len").alias("avg"), *[F.sum((F.col(f"tf{i}") > 0).cast("long")).alias(f"df{i}") for i in range(len(terms))])
-    d = d.where(" or ".join(f"tf{i} > 0" for i in range(len(terms))) or "false").crossJoin(F.broadcast(stats))  # one row
+    d = beside(d.where(" or ".join(f"tf{i} > 0" for i in range(len(terms))) or "false"), stats)
 
     def part(i: int) -> Column:
         idf = F.log(1 + (F.col("n") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))

@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def beside(rows: DataFrame, one: DataFrame) -> DataFrame:
+    """Rows with the columns of a frame of a single row, such as a global aggregate."""
+    return rows.withColumn("__one", F.lit(1)).join(F.broadcast(one.withColumn("__one", F.lit(1))), "__one").drop("__one")
+
+
 def last_wins(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """The last row of each key: one maximum of a struct a key, combined before the shuffle, so hot keys don't gather."""
     rest = [c for c in rows.columns if c not in key]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from statuta.functions import keys
 from statuta.functions.text import unquote
+from statuta.operators.store import beside
 
 HEAD = "struct<version:int,valid_from:date,valid_to:date,text:string,status:string>"
 
@@ -76,8 +77,8 @@ def assemble(edges: DataFrame, articles: DataFrame, documents: DataFrame, as_sto
     versions = fold(base, edits, as_stored)
     count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
     told = e.agg(count(~F.col("live")).alias("pending"), count(F.col("live") & ~F.col("whole")).alias("linked_subedits"))
-    written = versions.where("version > 1").agg(F.count("*").alias("later")).crossJoin(base.agg(F.count("*").alias("articles"), count(F.col("made")).alias("made")))  # one row each
-    counters = told.crossJoin(written).select("articles", (F.col("later") + F.col("made")).alias("versions_written"), "pending", "linked_subedits")
+    written = beside(versions.where("version > 1").agg(F.count("*").alias("later")), base.agg(F.count("*").alias("articles"), count(F.col("made")).alias("made")))
+    counters = beside(told, written).select("articles", (F.col("later") + F.col("made")).alias("versions_written"), "pending", "linked_subedits")
     return versions, counters
 
 
