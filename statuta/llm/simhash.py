@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statuta.llm import near
 from statuta.llm.common import connected_components, materialize, table
 
 BITS = 64
@@ -205,15 +206,20 @@ def links(vertices: DataFrame, budget: int = 2, split: int = SPLIT) -> DataFrame
     return rows.repartition("tab", "pass", "block", "node", "mask").mapInPandas(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, budget: int = 2, tables: int = 1, split: int = SPLIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, budget: int = 2, tables: int = 1, split: int = SPLIT, similar: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits, of table 0), component_id: for each row the smallest id that its links reach.
 
     Texts link if their fingerprints of some table differ in at most ``budget`` bits; tables hash the same
     shingles independently. Null texts are empty; every text without words has fingerprints zero and links
     like any other. A row with a null id gets its fingerprint, no links, and a null component. Rows that
     repeat an id are vertices of one id, so whatever any of them links to is shared. An empty table gives
-    no rows; other columns are not read.
+    no rows; other columns are not read. With ``similar``, texts link instead if their sets of shingles
+    have that Jaccard similarity (see ``near``).
     """
+    if similar is not None:
+        found = near.components(docs, words, similar, id_col, text_col)
+        base = fingerprints(docs, words, seed, 1, id_col, text_col).join(found, "doc_id", "left")
+        return base.select("doc_id", F.lower(F.lpad(F.hex(F.col("fps")[0]), 16, "0")).alias("fingerprint"), "component_id")
     base = materialize(fingerprints(docs, words, seed, tables, id_col, text_col))
     known = base.where(F.col("doc_id").isNotNull())
     same = known.groupBy("fps").agg(F.min("doc_id").alias("v"))
@@ -237,7 +243,10 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows with a null id stay. Of rows that repeat the smallest id, with whatever texts, each stays.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
+    if how.get("similar") is not None:
+        found = near.components(docs, how["words"], how["similar"], id_col, text_col)
+    else:
+        found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
     drop = found.where("component_id < doc_id").select(F.col("doc_id").alias("__id")).distinct()
     return docs.join(drop, docs[id_col] == F.col("__id"), "left_anti")
 

@@ -1,5 +1,6 @@
 """Each stage of the pipeline against what its operator says of the stage's own input, and the whole of it."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -8,6 +9,41 @@ from statuta.llm import decontamination, lines, packing, simhash, toxicity
 SF = "/root/testdata/sf0.001"
 
 
+def test_near_dedup_links_at_the_threshold_and_not_below(spark):
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+    texts = []
+    for changes in [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 14] * 6:
+        w = [word() for _ in range(200)]
+        for _ in range(3):
+            x = list(w)
+            for at in r.sample(range(0, 200, 5), changes):
+                x[at] = word()
+            texts.append(" ".join(x))
+    common = [word() for _ in range(150)]
+    texts += [" ".join(common + [word() for _ in range(n)]) for n in (10, 20, 30, 38, 40, 60, 90) for _ in range(4)]
+    texts += ["", " ", None, "one two", "One  two", "one three", texts[5], texts[5].upper()]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(None, texts[0]), (len(texts) + 5, texts[9]), (len(texts) + 5, texts[40])]
+    known = [(i, t) for i, t in rows if i is not None]
+    sets = [set(zip(*(w[k:] for k in range(5)))) if len(w := (t or "").lower().split()) >= 5 else {tuple(w)} - {()} for _, t in known]
+    root = {i: i for i, _ in known}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (i, _) in enumerate(known):
+        for m, (j, _) in enumerate(known[:k]):
+            if sets[k] == sets[m] or 5 * len(sets[k] & sets[m]) >= 4 * len(sets[k] | sets[m]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter(x["doc_id"] for x in corpus_pipeline.near_dedup(spark, df, SF).collect())
+    assert kept == Counter(i for i, _ in rows if i is None or find(i) == i)
+    assert corpus_pipeline.near_dedup(spark, df.limit(0), SF).count() == 0
+
+
 def test_stages(spark, tmp_path):
     docs = before = spark.read.parquet(f"{SF}/documents.parquet")
     columns, kept = docs.columns, {}
