@@ -184,8 +184,9 @@ def parse_keys(spark, d):
   CASE WHEN page_id % 2 = 0 THEN 'PD' ELSE 'N' END || page_id || '/' || (1990 + page_id % 30) AS key FROM pages WHERE page_id < 100000)""")
 def citations(spark, d):
     p = F.col("page_id")
-    said = F.concat(F.lit("άρθρο "), (p % 50).cast("string"), F.when(p % 2 == 0, F.lit(" του π.δ. ")).otherwise(F.lit(" του ν. ")), p.cast("string"), F.lit("/"), (1990 + p % 30).cast("string"))
-    c = t(spark, d, "pages").where("page_id < 100000").select("page_id", keys.citation(said).alias("c"))
+    number = p % 100000  # citations read at most five digits
+    said = F.concat(F.lit("άρθρο "), (p % 50).cast("string"), F.when(p % 2 == 0, F.lit(" του π.δ. ")).otherwise(F.lit(" του ν. ")), number.cast("string"), F.lit("/"), (1990 + p % 30).cast("string"))
+    c = t(spark, d, "pages").select("page_id", keys.citation(said).alias("c"))
     return c.select("page_id", F.col("c.instrument_type").alias("kind"), "c.number", "c.year", "c.article", "c.instrument_key")
 
 
