@@ -5,7 +5,8 @@ characters of the base64 alphabets. Its encoding is inferred (hexadecimal, base3
 symbols' numbers go through three tests of randomness: chi-squared uniformity over the quarters of the
 alphabet, Wald-Wolfowitz runs about the middle, and serial correlation at lag one. Against them stands
 the null that it is an ordinary word, path or name: then neighbours rarely change between capitals,
-small letters and digits, and the number of changes gives a p-value. Benjamini-Hochberg, run for each
+small letters and digits, and the number of changes gives a p-value. The rate of changes that is ordinary
+goes by encoding: in one letter case (hexadecimal, base32) only letters and digits can alternate. Benjamini-Hochberg, run for each
 class of lengths over all candidates of the corpus, bounds the share of ordinary runs among those found.
 
 Positions are code points. A pattern's matches and the pieces between them give the positions, as sums of
@@ -33,6 +34,8 @@ SHORTEST = 20
 ALPHABETS = {16: "0123456789abcdef", 32: "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 64: "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
 #: Share of false discoveries, p-value below which a test of randomness rejects, rate of changes in ordinary runs.
 FALSE, REJECT, CHANGES = 0.01, 0.001, 0.15
+#: Rate of changes in ordinary runs of one letter case; those of sf0.1 have none.
+CHANGES_ONE_CASE = 0.02
 #: Bins of a decade of p-values, decades that are told apart, and starts of the length classes.
 BINS, DECADES, CLASSES = 10, 30, (20, 28, 40, 64)
 
@@ -70,12 +73,19 @@ def normal_tail(z: Column) -> Column:
     return 1.0 / (1.0 + F.exp(F.lit(2 * math.sqrt(2 / math.pi)) * (z + 0.044715 * F.pow(z, 3))))
 
 
+def binomial_tail(k: Column, n: Column, rate: float) -> Column:
+    """Chernoff's bound on the probability of k or more changes in n places; it is never below the tail itself."""
+    x = F.least(k / F.greatest(n, F.lit(1.0)), F.lit(1.0))
+    part = lambda a, b: F.when(a > 0, a * F.log(a / b)).otherwise(0.0)
+    return F.when(x > rate, F.exp(-n * (part(x, rate) + part(1 - x, 1 - rate)))).otherwise(1.0)
+
+
 def test(match: Column) -> Column:
     """struct<p, random>: p-value under the null that a run is ordinary, and whether all randomness tests accept it."""
     text = F.regexp_replace(F.translate(match, "-_", "+/"), "=+$", "")
-    lower_hex, base32 = text.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), text.rlike("^[A-Z2-7]+$")
+    lower_hex, base32 = text.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), text.rlike("^(?:[A-Z2-7]+|[a-z2-7]+)$")
     size = F.when(lower_hex, 16).when(base32, 32).otherwise(64)
-    symbols = F.when(lower_hex, F.lower(text)).otherwise(text)
+    symbols = F.when(lower_hex, F.lower(text)).when(base32, F.upper(text)).otherwise(text)
     alphabet = F.when(lower_hex, F.lit(ALPHABETS[16])).when(base32, F.lit(ALPHABETS[32])).otherwise(F.lit(ALPHABETS[64]))
     codes = F.filter(F.split(symbols, ""), lambda c: c != "")
     made = F.struct(size.alias("size"), F.transform(codes, lambda c: F.instr(alphabet, c) - 1).alias("x"), F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.when(c.rlike("[a-z]"), 0).when(c.rlike("[A-Z]"), 1).when(c.rlike("[0-9]"), 2).otherwise(3)).alias("kind"))
@@ -101,7 +111,8 @@ def test(match: Column) -> Column:
         kind = s["kind"]
         changes = total(F.zip_with(F.slice(kind, 1, F.greatest(F.size(kind) - 1, F.lit(0))), F.slice(kind, 2, F.greatest(F.size(kind) - 1, F.lit(0))), lambda a, b: (a != b).cast("double")))
         z = (changes - 0.5 - CHANGES * (n - 1)) / F.sqrt(CHANGES * (1 - CHANGES) * F.greatest(n - 1, F.lit(1.0)))
-        return F.struct(F.when(n >= SHORTEST - 2, normal_tail(z)).otherwise(1.0).alias("p"), F.coalesce(worst * 3 >= REJECT, F.lit(False)).alias("random"))
+        p = F.when(s["size"] < 64, binomial_tail(changes, n - 1, CHANGES_ONE_CASE)).otherwise(normal_tail(z))
+        return F.struct(F.when(n >= SHORTEST - 2, p).otherwise(1.0).alias("p"), F.coalesce(worst * 3 >= REJECT, F.lit(False)).alias("random"))
 
     return F.element_at(F.transform(F.array(made), judge), 1)
 
