@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +13,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; one under the warehouse where that is unset."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="statuta-"))
+        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared")
     return named or sc.getCheckpointDir()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read again."""
+    at = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
