@@ -21,11 +21,20 @@ def shared_dir(spark: SparkSession) -> str:
     return named or sc.getCheckpointDir()
 
 
+#: Whether the shuffle files of a query go as soon as it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written to the shared folder and read again."""
-    at = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    return df.sparkSession.read.parquet(at)
+    """The rows, written to the shared folder and read again; what they were shuffled by leaves the disks."""
+    spark = df.sparkSession
+    at, before = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(at)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.parquet(at)
 
 
 def materialize(df: DataFrame) -> DataFrame:
