@@ -54,7 +54,9 @@ def test_amendments(spark):
     acts = spark.createDataFrame([("ν.5090/2024", ISSUE)], "instrument_id string, text string")
     e = edges.clean(parse.amendments(parse.segment(acts)), own="ν.5090/2024").orderBy("ordinal").collect()
     assert [(r["action"], r["target_id"], r["scope"], r["resolved"]) for r in e] == [("replaces", "ν.4675/2024#αρ.24.παρ.2", "paragraph", True), ("repeals", "ν.1234/2000", "document", True)]
-    assert parse.reference("του άρθρου 18 της υπ’ αρ. 3/100/21.12.2023 (Β΄ 7738) απόφασης", "own")[0] == "Β΄7738/2023#αρ.18"
+    told = spark.createDataFrame([("του άρθρου 18 της υπ’ αρ. 3/100/21.12.2023 (Β΄ 7738) απόφασης",), ("της περ. β της παρ. 3 του άρθρου 7",), ("του π.δ. 12/1999",), ("",)], "w string")
+    got = [tuple(r["r"]) for r in told.select(parse.reference(F.col("w"), F.lit("own")).alias("r")).collect()]
+    assert got == [("Β΄7738/2023#αρ.18", "article", True), ("own#αρ.7.παρ.3.περ.β", "case", True), ("π.δ.12/1999", "document", True), ("own", "document", False)]
 
 
 def test_quotes_that_lost_their_end():
@@ -66,6 +68,14 @@ def test_quotes_that_lost_their_end():
     assert [m[3] for m in parse.headings(code)] == ["πρώτο", *map(str, range(1, 9))]
 
 
+def test_nested_and_stray_quote_marks():
+    text = "» «α «β» γ» » «δ"
+    assert [tuple(q) for q in parse.quotes(text).itertuples(index=False)] == [(2, 10, True), (5, 7, True), (14, 16, False)]
+    assert parse.masks(text) == [(2, 10), (14, 16)] and parse.masks("χωρίς") == []
+    far = "«αρχή\n" + "λέξη " * 3000 + "\nΆρθρο 5\n«άλλο»"
+    assert parse.masks(far) == [(0, far.index("Άρθρο 5"))]
+
+
 def test_delegations(spark):
     rows = [("Β΄1/2024", "YA", "τίτλος", "Έχοντας υπόψη: την παρ. 2 του άρθρου 5 του ν. 4412/2016, αποφασίζουμε: τις διατάξεις του άρθρου 9 του ν. 1/2001"), ("ν.1/2024", "NOMOS", "", "κατ' εξουσιοδότηση του άρθρου 5 του ν. 4412/2016")]
     got = parse.delegations(spark.createDataFrame(rows, "instrument_id string, instrument_type string, title string, text string")).collect()
