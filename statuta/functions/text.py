@@ -20,9 +20,10 @@ TAIL, LEAD = ",·;:)]}»”’", "([{«“‘"
 GREEK, LATIN = "[\\u0370-\\u03FF\\u1F00-\\u1FFF]", "[A-Za-z]"
 # Inflectional endings in folded letters.
 ENDINGS = (
-    "ματων ματοσ ματα ησεων ησεωσ ησεισ ξεων ξεωσ ξεισ ουνται ονται ομαι ειται εται ηκαν θηκε ουμε ουν ετε εισ "
-    "ησε ασε ηση ξη εων εωσ ουσ οισ ων εσ οι ασ ησ οσ ου ο α η ε ω υ ι"
-).split()
+    "ματων", "ματοσ", "ματα", "ησεων", "ησεωσ", "ησεισ", "ξεων", "ξεωσ", "ξεισ", "ουνται", "ονται", "ομαι", "ειται", "εται", "ηκαν", "θηκε", "ουμε",
+    "ουν", "ετε", "εισ", "ησε", "ασε", "ηση", "ξη", "εων", "εωσ", "ουσ", "οισ", "ων", "εσ", "οι", "ασ", "ησ", "οσ", "ου", "ο", "α", "η", "ε", "ω",
+    "υ", "ι",
+)
 #: Letters that a stem keeps.
 STEM = 3
 # Gazette furniture, in the order of removal: (pattern, replacement).

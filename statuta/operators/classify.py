@@ -38,11 +38,24 @@ CODES = [
 ]
 # Folded keywords of each domain, in the order of the labels.
 KEYWORDS = [
-    ("criminal", "ποινη εγκλημα κακουργημα"), ("civil", "διαζυγιο κληρονομια συμβαση"), ("labor", "μισθος εργαζομεν απολυση"), ("tax", "φορος φορολογ εισοδημα"),
-    ("public_procurement", "διαγωνισμος αναθετουσα"), ("data_protection", "προσωπικα_δεδομεν απορρητο"), ("corporate", "μετοχ εταιρ"), ("commercial", "καταναλωτ αγορανομ λιανεμπορ"),
-    ("environmental", "περιβαλλον"), ("energy", "ενεργειακ"), ("constitutional", "συνταγμα συνταγματικ"), ("social_security", "ασφαλιστικ συνταξ"), ("health", "υγειονομ νοσοκομει"),
-    ("education", "εκπαιδευ πανεπιστημ"), ("immigration", "μεταναστ"), ("defense", "στρατιωτικ"), ("digital", "ψηφιακ"),
-]
+    ("criminal", ["ποινη", "εγκλημα", "κακουργημα"]),
+    ("civil", ["διαζυγιο", "κληρονομια", "συμβαση"]),
+    ("labor", ["μισθος", "εργαζομεν", "απολυση"]),
+    ("tax", ["φορος", "φορολογ", "εισοδημα"]),
+    ("public_procurement", ["διαγωνισμος", "αναθετουσα"]),
+    ("data_protection", ["προσωπικα δεδομεν", "απορρητο"]),
+    ("corporate", ["μετοχ", "εταιρ"]),
+    ("commercial", ["καταναλωτ", "αγορανομ", "λιανεμπορ"]),
+    ("environmental", ["περιβαλλον"]),
+    ("energy", ["ενεργειακ"]),
+    ("constitutional", ["συνταγμα", "συνταγματικ"]),
+    ("social_security", ["ασφαλιστικ", "συνταξ"]),
+    ("health", ["υγειονομ", "νοσοκομει"]),
+    ("education", ["εκπαιδευ", "πανεπιστημ"]),
+    ("immigration", ["μεταναστ"]),
+    ("defense", ["στρατιωτικ"]),
+    ("digital", ["ψηφιακ"]),
+]
 # A ministry or secretariat with the capitalised portfolio that follows.
 PORTFOLIO = r"(?U)(?:Υπουργ\w*|Γενικ\w+\s+Γραμματ\w+|Γραμματ(?:έας|είας|έα))\s+(?:[Α-ΩΆ-Ώ][α-ωά-ώϊϋΐΰ]+\s*|και\s+|,\s*)+"
 
@@ -58,9 +71,12 @@ VOLUMES = {
 }
 # Volumes that keywords alone give, folded when used.
 MORE_VOLUMES = [
-    ("ΓΕΩΡΓΙΚΗ ΝΟΜΟΘΕΣΙΑ", ["γεωργικ", "αγροτικ"]), ("ΕΜΠΟΡΙΚΗ ΝΑΥΤΙΛΙΑ", ["ναυτιλ", "πλοίο", "λιμεν"]), ("ΕΚΚΛΗΣΙΑΣΤΙΚΗ ΝΟΜΟΘΕΣΙΑ", ["εκκλησ", "μητροπόλ", "ιερά σύνοδο"]),
-    ("ΔΗΜΟΣΙΑ ΕΡΓΑ", ["δημόσια έργα", "οδοποιί"]), ("ΟΡΓΑΝΙΣΜΟΙ ΤΟΠΙΚΗΣ ΑΥΤΟΔΙΟΙΚΗΣΗΣ", ["τοπικής αυτοδιοίκησης", "δημοτικό συμβούλιο", "περιφερειάρχ"]),
-]
+    ("ΓΕΩΡΓΙΚΗ ΝΟΜΟΘΕΣΙΑ", ["γεωργικ", "αγροτικ"]),
+    ("ΕΜΠΟΡΙΚΗ ΝΑΥΤΙΛΙΑ", ["ναυτιλ", "πλοίο", "λιμεν"]),
+    ("ΕΚΚΛΗΣΙΑΣΤΙΚΗ ΝΟΜΟΘΕΣΙΑ", ["εκκλησ", "μητροπόλ", "ιερά σύνοδο"]),
+    ("ΔΗΜΟΣΙΑ ΕΡΓΑ", ["δημόσια έργα", "οδοποιί"]),
+    ("ΟΡΓΑΝΙΣΜΟΙ ΤΟΠΙΚΗΣ ΑΥΤΟΔΙΟΙΚΗΣΗΣ", ["τοπικής αυτοδιοίκησης", "δημοτικό συμβούλιο", "περιφερειάρχ"]),
+]
 # What in a title speaks for a category, folded when used.
 SIGNALS = {
     "amendment": ["τροποποίηση", "τροποποιείται", "τροποποιούνται", "αντικατάσταση", "αντικαθίσταται", "καταργείται"],
@@ -102,7 +118,7 @@ def domains(text: Column, title: Column | None = None) -> Column:
     whole = t if title is None else F.concat_ws("\n", F.nullif(title, F.lit("")), t)
     precise = matching(whole, CODES)
     folded = fold(F.regexp_replace(t, PORTFOLIO, " "))
-    return F.when(F.size(precise) > 0, precise).otherwise(containing(folded, [(label, [w.replace("_", " ") for w in ws.split()]) for label, ws in KEYWORDS]))
+    return F.when(F.size(precise) > 0, precise).otherwise(containing(folded, KEYWORDS))
 
 
 def join_dictionary(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -31,7 +31,7 @@ TYPES = [
     ("ANAKOINOSI", r"(?m:^[ \t]*ΑΝΑΚΟΙΝΩΣ(?:ΕΙΣ|Η)\.?[ \t]*$)"),
 ]
 # Types that carry no number.
-NUMBERLESS = "PNP YA KYA PSIFISMA KAN_VOULIS KAN_APOFASI APOFASI_DIOIKITI APOFASI_PERIF APOFASI_NPDD ANAKOINOSI PYS".split()
+NUMBERLESS = ["PNP", "YA", "KYA", "PSIFISMA", "KAN_VOULIS", "KAN_APOFASI", "APOFASI_DIOIKITI", "APOFASI_PERIF", "APOFASI_NPDD", "ANAKOINOSI", "PYS"]
 # Words and letters of the gazette's series.
 SERIES = {"ΠΡΩΤΟ": "Α", "ΔΕΥΤΕΡΟ": "Β", "ΤΡΙΤΟ": "Γ", "ΤΕΤΑΡΤΟ": "Δ", "ΠΕΜΠΤΟ": "Ε"}
 LETTERS = {"Α": "Α", "A": "Α", "Β": "Β", "B": "Β", "Γ": "Γ", "Δ": "Δ", "Ε": "Ε", "E": "Ε"}

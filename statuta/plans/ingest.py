@@ -31,8 +31,10 @@ def run(issues: DataFrame) -> Knowledge:
     review = clean.select("doc_id").join(known.select("doc_id"), "doc_id", "left_anti")
     found = parse.segment(known)
     links = edges.clean(parse.amendments(found), own="instrument_id")
-    force = edges.consolidate(found.select("canonical_id", "text"), links.withColumn("source_id", F.col("source_id")))
+    force = edges.consolidate(found.select("canonical_id", "text"), links)
     found = found.join(force.drop("text"), "canonical_id").withColumn("cites", edges.eu_references(F.col("text_in_force")))
+    # what is searched and compared is the text in force
+    found = found.withColumns({"text_normalized": txt.fold(F.col("text_in_force")), "text_stemmed": txt.stem(F.col("text_in_force")), "content_hash": F.sha2("text_in_force", 256)})
     found = found.join(known.select("instrument_id", "title"), "instrument_id", "left")
     found = found.withColumn("legal_domain", classify.domains(F.col("text_in_force"), F.col("title"))).withColumn("domain_dkn", classify.volumes(F.col("text_in_force"), F.col("title"))).withColumn("language", txt.language(F.col("text_in_force"))).drop("title")
     categories = classify.document_categories(known, found)

@@ -120,6 +120,13 @@ class Store:
         stored = self.read(name)
         self.write(name, batch if stored is None else upsert(stored.drop("tenant"), batch, key, patch))
 
+    def replace(self, name: str, rows: DataFrame, by: list[str], touched: DataFrame | None = None) -> None:
+        """Put rows in the place of all stored rows whose key is in ``touched`` (null: of the whole table)."""
+        stored = self.read(name)
+        if stored is not None and touched is not None:
+            rows = stored.drop("tenant").join(touched.select(*by).distinct(), by, "left_anti").unionByName(rows)
+        self.write(name, rows)
+
     def count(self, name: str) -> int:
         """Rows of the tenant; -1 without the table, 0 without the tenant."""
         if not self._fs().exists(self._path(name)):

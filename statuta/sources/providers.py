@@ -80,7 +80,8 @@ def ask(df: DataFrame, key: str, content: str, provider: Callable[[list[str]], l
                     bucket.take()
                 yield pd.DataFrame({"content_hash": part["content_hash"], result: retried(lambda part=part: provider([x or "" for x in part[content]]))})
 
-    made = todo.mapInPandas(run, f"content_hash string, {result} {kind}")
+    # every task has its share of the rate, so there may be no more of them
+    made = (todo.repartition(tasks, "content_hash") if rate else todo).mapInPandas(run, f"content_hash string, {result} {kind}")
     if cache is not None:
         made = made.unionByName(cache.select("content_hash", result))
     return d.join(made, "content_hash").select(key, "content_hash", result)

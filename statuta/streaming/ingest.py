@@ -31,15 +31,19 @@ def edge_batch(store: Store) -> Callable[[DataFrame, int], None]:
 
 
 def consolidate(store: Store, touched: DataFrame | None = None) -> None:
-    """Fold the stored edges; with ``touched`` only those of its provisions. A second run changes nothing."""
+    """Fold the stored edges; with ``touched`` only those of its provisions. A second run changes nothing.
+
+    A late edge moves windows, so the versions of a folded article replace all that it had.
+    """
     edges, articles, documents = (store.read(n) for n in ("amendments", "articles", "documents"))
     if edges is None or documents is None or articles is None:
         return
+    aids = None
     if touched is not None:
-        aids = touched.select(keys.article_level(F.col("target_id")).alias("__aid")).distinct()
-        edges = edges.join(aids, keys.article_level(F.col("target_id")) == F.col("__aid"), "left_semi")
+        aids = touched.select(keys.article_level(F.col("target_id")).alias("aid")).distinct()
+        edges = edges.join(aids.withColumnRenamed("aid", "__aid"), keys.article_level(F.col("target_id")) == F.col("__aid"), "left_semi")
     versions, _ = timeline.assemble(edges, articles, documents)
-    store.upsert("versions", versions, ["aid", "version"])
+    store.replace("versions", versions, ["aid"], aids)
 
 
 def stream_edges(spark: SparkSession, folder: str, schema: str, store: Store, checkpoint: str, **options: str) -> StreamingQuery:
