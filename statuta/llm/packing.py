@@ -3,7 +3,8 @@
 The lengths of all pieces make a histogram of at most ``limit`` counts, whatever the corpus. Over it, a
 configuration linear program (least number of sequences whose patterns cover every count) is solved by
 multiplicative weights: lengths whose cover lags weigh more, and a knapsack dynamic program prices the
-best pattern. The solution is rounded down, and what is left of the histogram is packed best-fit. Every
+best patterns. The solution is rounded, what rounding leaves is solved and rounded again, and only what no
+pattern fits any more is packed best-fit. Every
 pattern comes with a multiplicity, so a piece needs only its rank among the pieces of its length: ranks
 are dealt in salted runs, and a bounded schedule turns (length, rank) into a sequence and an offset.
 """
@@ -25,8 +26,8 @@ from statuta.llm.tokens import byte_tokens
 
 Pattern = tuple[tuple[int, int], ...]
 
-#: Rounding keeps full patterns used at least so often; what rarer ones held is packed best-fit.
-LEAST = 3
+#: How fast a dual falls with its length's cover, and the share of open lengths (one in so many) that share prices.
+RATE, TURN = 0.5, 16
 #: Pieces of one length that are ranked together in one run.
 RUN = 100_000
 
@@ -59,9 +60,9 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int, id_col: str
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {ids}, piece int, start long, length long, ids_crc32 long")
 
 
-def price(value: np.ndarray, limit: int) -> Pattern:
-    """The pattern of greatest value that fits: knapsack by dynamic programming. value[l] is for length l; 0 is unused."""
-    best, pick = np.zeros(limit + 1), np.zeros(limit + 1, int)
+def best_values(value: np.ndarray, limit: int) -> np.ndarray:
+    """For each room up to ``limit`` the length to take for the greatest value that fits (0: leave a place), by the knapsack's dynamic program."""
+    best, pick = np.zeros(limit + 1), np.zeros(limit + 1, np.int64)
     reverse = value[::-1]  # reverse[limit - l] = value[l]
     for c in range(1, limit + 1):
         total = best[:c] + reverse[limit - c : limit]  # total[j]: take length c - j
@@ -70,7 +71,13 @@ def price(value: np.ndarray, limit: int) -> Pattern:
             best[c], pick[c] = total[j], c - j
         else:
             best[c] = best[c - 1]
-    took, c = Counter(), limit
+    return pick
+
+
+def taken(pick: np.ndarray, room: int, first: int = 0) -> Pattern:
+    """The pattern that the dynamic program packs into ``room``, about a piece of length ``first``."""
+    took = Counter([first] if first else [])
+    c = room - first
     while c > 0:
         if pick[c]:
             took[int(pick[c])] += 1
@@ -80,45 +87,74 @@ def price(value: np.ndarray, limit: int) -> Pattern:
     return tuple(sorted(took.items(), reverse=True))
 
 
-def solve(counts: dict[int, int], limit: int, rounds: int = 2000, rate: float = 0.5, part: float = 0.5) -> dict[Pattern, float]:
+def worth(lengths: np.ndarray, limit: int) -> np.ndarray:
+    """Duals to begin with: a length's share of a sequence, a little more for long ones, which fit worst."""
+    return lengths / limit * (1 + 0.5 * lengths / limit)
+
+
+def solve(counts: dict[int, int], limit: int) -> dict[Pattern, float]:
     """A fractional cover of the counts by patterns, by multiplicative weights.
 
-    A length's dual starts at its share of a sequence and falls exponentially with the share of its
-    count that is covered, so that all lengths end together. Each round prices the best pattern and uses
-    it as often as ``part`` of what its scarcest length still needs. Lengths left uncovered when the
-    rounds end stay for the rounding.
+    A length's dual falls exponentially, at ``RATE``, with the share of its count that is covered. A dynamic
+    program prices the best pattern about each open length; those of the longest ``1 / TURN`` are used in turn,
+    each as often as its scarcest length allows, before prices are made anew. So each step closes a length, no
+    length is covered twice, and the cover is whole when the loop ends: there are no more steps than lengths.
     """
     lengths = np.array(sorted(counts))
     need = np.array([counts[n] for n in lengths], float)
-    cover, use = np.zeros(len(lengths)), defaultdict(float)
-    where = {int(n): k for k, n in enumerate(lengths)}
-    for _ in range(rounds):
-        open_ = cover < need - 1e-3
-        if not open_.any():
-            break
+    left, use = need.copy(), defaultdict(float)
+    where = np.zeros(limit + 1, np.int64)
+    where[lengths] = np.arange(len(lengths))
+    duals = worth(lengths, limit)
+    while (live := np.flatnonzero(left > 0)).size:
         value = np.zeros(limit + 1)
-        value[lengths] = np.where(open_, lengths * (1 + 0.5 * lengths / limit) * np.exp(-rate * cover / need), 0)
-        p = price(value, limit)
-        k = np.array([where[n] for n, _ in p])
-        a = np.array([m for _, m in p], float)
-        step = max((part * (need[k] - cover[k]) / a).min(), 0.05)
-        use[p] += step
-        cover[k] += step * a
+        value[lengths[live]] = duals[live] * np.exp(RATE * (left[live] / need[live] - 1))
+        pick = best_values(value, limit)
+        for k in live[::-1][: max(1, len(live) // TURN)]:
+            p = taken(pick, limit, int(lengths[k]))
+            at, a = where[[n for n, _ in p]], np.array([m for _, m in p], float)
+            step = (left[at] / a).min()
+            if step > 0:  # else a length that it holds has been closed since it was priced
+                use[p] += step
+                left[at] -= step * a
+                left[left < 1e-9 * need] = 0
     return dict(use)
 
 
-def fill(left: dict[int, int], taken: Pattern, limit: int, worth: np.ndarray) -> Pattern:
-    """The best fit for what room ``taken`` leaves: priced anew whenever a length runs out."""
-    took = Counter(dict(taken))
-    room = limit - sum(n * m for n, m in taken)
+def rounded(counts: dict[int, int], limit: int) -> tuple[Counter[Pattern], dict[int, int]]:
+    """Patterns of the linear program with whole multiplicities, and the counts that they leave.
+
+    Multiplicities are rounded down; then full patterns, by what rounding took from them, are used once
+    more where the counts allow. The program is solved again for what is left, until that yields nothing.
+    """
+    left, out = {n: c for n, c in counts.items() if c}, Counter()
+    while left:
+        use = sorted(solve(left, limit).items(), key=lambda kv: (int(kv[1]) - kv[1], kv[0]))
+        before = sum(left.values())
+        for whole in (True, False):
+            for p, x in use:
+                times = min([int(x) if whole else int(sum(n * m for n, m in p) == limit), *(left[n] // m for n, m in p)])
+                out[p] += times
+                for n, m in p:
+                    left[n] -= m * times
+        left = {n: c for n, c in left.items() if c}
+        if sum(left.values()) == before:
+            break
+    return +out, left
+
+
+def fill(left: dict[int, int], begun: Pattern, limit: int, value_of: np.ndarray) -> Pattern:
+    """The best fit for what room ``begun`` leaves: priced anew whenever a length runs out."""
+    took = Counter(dict(begun))
+    room = limit - sum(n * m for n, m in begun)
     while room > 0:
         value = np.zeros(room + 1)
         able = [n for n in left if n <= room and left[n] > took[n]]
         if not able:
             break
-        value[able] = worth[able]
+        value[able] = value_of[able]
         before = room
-        for n, m in price(value, room):
+        for n, m in taken(best_values(value, room), room):
             m = min(m, left[n] - took[n])
             took[n] += m
             room -= n * m
@@ -127,15 +163,15 @@ def fill(left: dict[int, int], taken: Pattern, limit: int, worth: np.ndarray) ->
     return tuple(sorted(((n, m) for n, m in took.items() if m), reverse=True))
 
 
-def best_fit(counts: dict[int, int], limit: int, worth: np.ndarray) -> Counter[Pattern]:
+def best_fit(counts: dict[int, int], limit: int) -> Counter[Pattern]:
     """Longest length first, with the fullest filling for the rest of its sequence, as often as the counts allow.
 
     Each turn ends some length or needs another filling, so turns follow the number of lengths, not of pieces.
     """
-    left, out = dict(counts), Counter()
+    left, out, value_of = dict(counts), Counter(), worth(np.arange(limit + 1), limit)
     while left:
         longest = max(left)
-        p = fill(left, ((longest, 1),), limit, worth)
+        p = fill(left, ((longest, 1),), limit, value_of)
         times = min(left[n] // m for n, m in p)
         out[p] += times
         for n, m in p:
@@ -147,19 +183,8 @@ def best_fit(counts: dict[int, int], limit: int, worth: np.ndarray) -> Counter[P
 
 def plan(counts: dict[int, int], limit: int) -> list[tuple[Pattern, int]]:
     """Patterns with multiplicities that hold every piece of the histogram exactly once."""
-    left = {n: c for n, c in counts.items() if c}
-    out: Counter[Pattern] = Counter()
-    if not left:
-        return []
-    for p, x in sorted(solve(left, limit).items(), key=lambda kv: -kv[1]):
-        times = min([int(x), *(left[n] // m for n, m in p)])
-        if times >= LEAST and sum(n * m for n, m in p) == limit:
-            out[p] += times
-            for n, m in p:
-                left[n] -= m * times
-    lengths = np.arange(limit + 1)
-    worth = lengths * (1 + 0.5 * lengths / limit)
-    out.update(best_fit({n: c for n, c in left.items() if c}, limit, worth))
+    out, left = rounded(counts, limit)
+    out.update(best_fit(left, limit))
     return sorted(out.items())
 
 

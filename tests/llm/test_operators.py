@@ -155,10 +155,20 @@ def test_packing(spark, docs, data):
     assert packing.pack(edge.empty(spark)).count() == 0
 
 
-def test_plan_covers_the_histogram_and_fills_sequences():
+@pytest.mark.parametrize("size", [150, 2_000, 20_000])
+def test_plan_covers_the_histogram_and_fills_sequences(size):
     r = np.random.RandomState(5)
-    counts = Counter((np.minimum(1023, r.lognormal(5.5, 1, 20_000)).astype(int) + 1).tolist())
+    counts = Counter((np.minimum(1023, r.lognormal(5.5, 1, size)).astype(int) + 1).tolist())
     counts.pop(1024, None)
+    cover = Counter()
+    for p, x in packing.solve(dict(counts), 1024).items():
+        for n, m in p:
+            cover[n] += m * x
+    assert all(cover[n] == pytest.approx(c, rel=1e-6) for n, c in counts.items())
+    bound = sum(n * c for n, c in counts.items()) / 1024
+    assert sum(packing.solve(dict(counts), 1024).values()) <= 1.03 * bound + 1
+    lp, left = packing.rounded(dict(counts), 1024)
+    assert sum(lp.values()) >= (0.7 if size < 1000 else 0.95) * sum(times for _, times in packing.plan(dict(counts), 1024))
     plan = packing.plan(dict(counts), 1024)
     held = Counter()
     for p, times in plan:
@@ -166,6 +176,7 @@ def test_plan_covers_the_histogram_and_fills_sequences():
         for n, m in p:
             held[n] += m * times
     assert held == counts
+    assert packing.plan({600: 7, 1024: 2}, 1024) == [(((600, 1),), 7), (((1024, 1),), 2)] and packing.plan({}, 1024) == []
     assert sum(times for _, times in plan) <= 1.003 * -(-sum(n * c for n, c in counts.items()) // 1024) + 1
 
 
