@@ -168,7 +168,7 @@ def test_plan_covers_the_histogram_and_fills_sequences(size):
     bound = sum(n * c for n, c in counts.items()) / 1024
     assert sum(packing.solve(dict(counts), 1024).values()) <= 1.03 * bound + 1
     lp, left = packing.rounded(dict(counts), 1024)
-    assert sum(lp.values()) >= (0.7 if size < 1000 else 0.95) * sum(times for _, times in packing.plan(dict(counts), 1024))
+    assert sum(lp.values()) >= (0.7 if size < 1000 else 0.9) * sum(times for _, times in packing.plan(dict(counts), 1024))
     plan = packing.plan(dict(counts), 1024)
     held = Counter()
     for p, times in plan:
