@@ -37,6 +37,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(at)
 
 
+#: Words of 64 bits in the bitmap of wanted keys: its size, whatever their number.
+BITMAP = 1 << 17
+
+
+def _marked(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """rows with __in: whether their key's hash is one of the wanted keys', by a broadcast bitmap of fixed size."""
+    place, bit = F.pmod(F.xxhash64(*on, F.lit(1)), F.lit(64 * BITMAP)), F.expr("shiftleft(1L, cast(__h % 64 as int))")
+    bitmap = wanted.select(place.alias("__h")).groupBy(F.shiftright("__h", 6).alias("__w")).agg(F.bit_or(bit).alias("__mask"))
+    rows = rows.withColumn("__h", place).withColumn("__w", F.shiftright("__h", 6)).join(F.broadcast(bitmap), "__w", "left")
+    return rows.withColumn("__in", F.coalesce(F.col("__mask").bitwiseAND(bit) != 0, F.lit(False)))
+
+
+def likely(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose key may be among the wanted ones, where they are; others pass by chance, and all of those wanted pass."""
+    return _marked(rows, wanted, on).where("__in").select(*rows.columns)
+
+
+def unlikely(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The rows that ``likely`` leaves out: none of their keys is wanted."""
+    return _marked(rows, wanted, on).where("not __in").select(*rows.columns)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

@@ -1,203 +1,281 @@
 """Benchmark decontamination by greedy string tiling (operator 5).
 
-Documents and items share seeds: runs of ``seed`` words, matched by hashes of word numbers against an
-index of the items. For each pair with a seed, running Karp-Rabin finds the longest matches of unmarked
-words, marks them, and goes on with shorter ones down to ``least`` words, so that a passage whose parts
-stand in another order is still covered. An item of which at least ``coverage`` is tiled is a leak.
-
-The index is held to ``BLOCK_BYTES`` of item text: a larger benchmark is searched in several blocks, each
-against all documents, and nothing of it is left out.
+Documents and items share seeds: runs of ``least`` words, the shortest tile. Seeds of documents that may be an
+item's, by a bitmap of fixed size, are joined with the items' seeds. Every tiled word lies in a shared seed, so
+what a pair shares must be able to cover the share of the item that makes a leak; for the same reason an item's
+most common seeds need no join, as long as they alone can't cover that share. For each pair that is left,
+running Karp-Rabin finds the longest matches of unmarked words, marks them, and goes on with shorter ones down
+to ``least`` words, so that a passage whose parts stand in another order is still covered. An item of which at
+least ``coverage`` is tiled is a leak.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statuta.llm.common import table
+from statuta.llm.common import likely, table, unlikely, written
 
-#: Words of a seed, shortest tile, and the share of an item's words that makes a leak.
-SEED, LEAST, COVERAGE = 5, 3, 0.5
-#: Item text whose index a task holds at once.
-BLOCK_BYTES = 16 << 20
+#: Words of the shortest tile and of a seed, and the share of an item's words that makes a leak.
+LEAST, COVERAGE = 3, 0.5
+#: Words of 64 bits in the bitmap of the items' seeds, and parts to which the holders of a seed are dealt.
+BITMAP, PARTS = 1 << 16, 16
 
 #: Bytes that end a word, as spaces: those of ASCII but letters and digits.
 _WORDS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 def words(text: str | None) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").translate(_WORDS).split() if text else []
 
 
-def rolling(ids: np.ndarray, n: int) -> np.ndarray:
-    """Karp-Rabin hashes modulo 2**64 of all runs of n word numbers."""
-    count = len(ids) - n + 1
-    if count <= 0:
-        return np.empty(0, np.uint64)
-    h = np.zeros(count, np.uint64)
-    mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95)
-    for j in range(n):
-        h = h * _MULTIPLIER + mixed[j : j + count]
-    return h ^ (h >> np.uint64(29))
+def word_hashes(text: str | None) -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    w = words(text)
+    return np.fromiter(map(xxh64_intdigest, w, repeat(5)), np.uint64, count=len(w))
+
+
+class Runs:
+    """Karp-Rabin hashes, modulo 2**64, of all runs of n words, for any n, from sums over prefixes."""
+
+    def __init__(self, ids: np.ndarray) -> None:
+        n = len(ids)
+        power = np.full(n + 1, _MULTIPLIER, np.uint64)
+        power[:1] = 1
+        self.power = np.multiply.accumulate(power)
+        mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95)
+        mixed ^= mixed >> np.uint64(32)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(mixed * np.uint64(0xBF58476D1CE4E5B9) * self.power[:n], out=self.sums[1:])
+        self.size = n
+
+    def of(self, n: int) -> np.ndarray:
+        """All runs, raised to one power so that equal runs have equal hashes wherever they stand."""
+        count = self.size - n + 1
+        if count <= 0:
+            return np.empty(0, np.uint64)
+        h = (self.sums[n:] - self.sums[:-n]) * _inverse_powers(count)
+        return h ^ (h >> np.uint64(29))
+
+
+_INVERSE = np.ones(1, np.uint64)
+
+
+def _inverse_powers(n: int) -> np.ndarray:
+    global _INVERSE
+    if len(_INVERSE) < n:
+        p = np.full(max(n, 2 * len(_INVERSE)), pow(_MULTIPLIER, -1, 1 << 64), np.uint64)
+        p[0] = 1
+        _INVERSE = np.multiply.accumulate(p)
+    return _INVERSE[:n]
 
 
 def _free(ok: np.ndarray, n: int) -> np.ndarray:
-    """Starts of runs of n words that may be matched."""
+    """Whether the n words from each place on may be matched."""
     total = np.concatenate([[0], np.cumsum(ok)])
-    return total[n:] - total[:-n] == n
+    return total[n:] - total[:-n] == n if len(ok) >= n else np.empty(0, bool)
 
 
 def tile(a: np.ndarray, b: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
     """Greedy string tiles (start in a, start in b, length) of two arrays of word numbers; 0 matches nothing.
 
-    Longest first; ties go to the smaller start in a, then in b.
+    Longest first; ties go to the smaller start in a, then in b. Tiles have at most about sqrt(2 len(a))
+    different lengths; each costs a binary search with a pass over both texts a step, and a pass in which
+    places that are taken are left behind for good, so repetitive texts take no longer than others.
     """
+    run_a, run_b = Runs(a), Runs(b)
     free_a, free_b, tiles = a > 0, b > 0, []
-    n = max(least, min(len(a), len(b)))
-    while n >= least:
-        found = _longest(a, b, free_a, free_b, n)
-        if not found:
-            if n == least:
-                break
-            n = max(least, n // 2)
-            continue
-        longest = max(x[2] for x in found)
-        if longest > 2 * n:
-            n = longest
-            continue
-        for length, i, j in sorted(((x[2], x[0], x[1]) for x in found), key=lambda x: (-x[0], x[1], x[2])):
-            if length < n:
-                break
-            if free_a[i : i + length].all() and free_b[j : j + length].all():
-                free_a[i : i + length] = free_b[j : j + length] = False
-                tiles.append((i, j, length))
-        # a match cut short by a longer one comes again, as what is left of it
+
+    def shared(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Free starts in a whose run of n words has a hash that a free run of b has too; free starts in b; their hashes."""
+        at_a, at_b = np.flatnonzero(_free(free_a, n)), np.flatnonzero(_free(free_b, n))
+        hash_b = run_b.of(n)[at_b]
+        return at_a[np.isin(run_a.of(n)[at_a], hash_b)], at_b, hash_b
+
+    top = min(len(a), len(b))
+    while top >= least:
+        low, high = least - 1, top  # a shared run of n words has shared runs of fewer
+        while low < high:
+            mid = (low + high + 1) // 2
+            low, high = (mid, high) if len(shared(mid)[0]) else (low, mid - 1)
+        n = low
+        if n < least:
+            break
+        at_a, at_b, hash_b = shared(n)
+        order = np.argsort(hash_b, kind="stable")
+        hash_b, at_b, hash_a = hash_b[order], at_b[order], run_a.of(n)
+        begin, end = np.searchsorted(hash_b, hash_a[at_a]), np.searchsorted(hash_b, hash_a[at_a], side="right")
+        reached: dict[int, int] = {}
+        for i, lo, hi in zip(at_a.tolist(), begin.tolist(), end.tolist()):
+            if not free_a[i : i + n].all():
+                continue
+            k = reached.get(lo, lo)
+            while k < hi and not free_b[at_b[k] : at_b[k] + n].all():
+                k += 1
+            reached[lo] = k  # taken words stay taken
+            while k < hi:
+                j = int(at_b[k])
+                if free_b[j : j + n].all() and np.array_equal(a[i : i + n], b[j : j + n]):
+                    free_a[i : i + n] = free_b[j : j + n] = False
+                    tiles.append((i, j, n))
+                    break
+                k += 1
+        top = n - 1
     return sorted(tiles)
 
 
-def _longest(a: np.ndarray, b: np.ndarray, free_a: np.ndarray, free_b: np.ndarray, n: int) -> list[tuple[int, int, int]]:
-    """Maximal matches of at least n free words, from equal hashes of n words, each checked word by word."""
-    if min(len(a), len(b)) < n:
+def tiled(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Tiles of an item's and a document's word hashes; only words of shared seeds are looked at."""
+    ids, a = np.unique(item, return_inverse=True)
+    at = np.minimum(np.searchsorted(ids, doc), len(ids) - 1)
+    b = np.where(ids[at] == doc, at + 1, 0)
+    a = a + 1
+    hit = np.flatnonzero(_free(b > 0, least))
+    hit = hit[np.isin(Runs(b).of(least)[hit], Runs(a).of(least))]
+    keep = np.zeros(len(b) + 1, bool)
+    for k in range(least):
+        keep[hit + k] = True
+    keep = keep[:-1]
+    place = np.flatnonzero(keep)
+    if not len(place):
         return []
-    at_a, at_b = np.flatnonzero(_free(free_a, n)), np.flatnonzero(_free(free_b, n))
-    if not len(at_a) or not len(at_b):
-        return []
-    ha, hb = rolling(a, n)[at_a], rolling(b, n)[at_b]
-    at_a, ha = at_a[keep := np.isin(ha, hb)], ha[keep]
-    if not len(at_a):
-        return []
-    order = np.argsort(hb, kind="stable")
-    hb, at_b = hb[order], at_b[order]
-    lo, hi = np.searchsorted(hb, ha), np.searchsorted(hb, ha, side="right")
-    out, done = [], set()
-    for i, x, y in zip(at_a.tolist(), lo.tolist(), hi.tolist()):
-        for j in at_b[x:y].tolist():
-            if (i - 1, j - 1) in done:  # inside a match that began further left
-                done.add((i, j))
-                continue
-            k = 0
-            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and free_a[i + k] and free_b[j + k]:
-                k += 1
-            if k >= n:
-                done.add((i, j))
-                out.append((i, j, k))
-    return out
+    # what lies between is one word that matches nothing
+    gap = np.concatenate([[False], np.diff(place) > 1])
+    short = np.insert(b[place], np.flatnonzero(gap), 0)
+    where = np.insert(place, np.flatnonzero(gap), -1)
+    return [(i, int(where[j]), n) for i, j, n in tile(a, short, least)]
+
+
+def _distinct(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, rk, text: rows and a hash that tells apart texts under one id."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("rk"), text.alias("text"))
+
+
+def _seeds(items: DataFrame, least: int) -> DataFrame:
+    """item, n (its words), seed, weight (its words that the seed covers at most) of items (item, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for item, text in zip(b.column(0).to_pylist(), b.column(1)):
+                w = word_hashes(text.as_py())
+                seed, times = np.unique(Runs(w).of(least), return_counts=True)
+                rows += [(item, len(w), s, least * t) for s, t in zip(seed.view(np.int64).tolist(), times.tolist())]
+            cols = list(zip(*rows)) if rows else [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], ["item", "n", "seed", "weight"])
+
+    return items.mapInArrow(run, "item long, n long, seed long, weight long")
+
+
+def _hits(docs: DataFrame, bitmap: object, least: int) -> DataFrame:
+    """id, rk, seed: the different seeds of each document (id, rk, text) that the bitmap of the items' seeds has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = bitmap.value
+        for b in batches:
+            found, at = [], []
+            for k, text in enumerate(b.column(2)):
+                seed = Runs(word_hashes(text.as_py())).of(least)
+                bit = seed % np.uint64(64 * BITMAP)
+                seed = np.unique(seed[(mask[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0])
+                found.append(seed)
+                at.append(np.full(len(seed), k))
+            row = pa.array(np.concatenate(at) if at else np.empty(0, np.int64), pa.int64())
+            seeds = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(seeds)], ["id", "rk", "seed"])
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"id {kind}, rk long, seed long")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, least: int, coverage: float, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame | None:
+    """id, rk, item_id, n_item, n_tiled, n_tiles for each document and different item that leaks into it; None without items."""
+    spark = docs.sparkSession
+    items = _distinct(benchmark, item_col, item_text).withColumnsRenamed({"id": "item_id", "rk": "item_rk"}).groupBy("item_id", "item_rk", "text").agg(F.count("*").alias("copies"))
+    items = written(items.withColumn("item", F.monotonically_increasing_id()), "items")
+    seeds = written(_seeds(items.select("item", "text"), least), "seeds")
+    slot = F.pmod("seed", F.lit(64 * BITMAP))  # as the unsigned remainder, for a power of two
+    bits = seeds.groupBy(F.shiftright(slot, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(seed, {64 * BITMAP}) % 64 as int))")).alias("m")).collect()  # BITMAP rows at most
+    if not bits:
+        return None
+    mask = np.zeros(BITMAP, np.int64)
+    for r in bits:
+        mask[r["w"]] = r["m"]
+    rows = _distinct(docs, id_col, text_col)
+    hits = written(_hits(rows, spark.sparkContext.broadcast(mask.view(np.uint64)), least), "hits")
+
+    # an item's most common seeds that can't make a leak by themselves aren't joined
+    held = hits.groupBy("seed").agg(F.count("*").alias("held"))
+    upto = F.sum("weight").over(Window.partitionBy("item").orderBy(F.col("held").desc(), "seed"))
+    ranked = seeds.join(held, "seed").withColumn("need", F.ceil(F.col("n") * coverage - 1e-9)).withColumn("upto", upto)
+    slack = F.coalesce(F.max(F.when(F.col("upto") < F.col("need"), F.col("upto"))).over(Window.partitionBy("item")), F.lit(0))
+    rare = ranked.withColumn("slack", slack).where("upto >= need").select("seed", "item", "weight", (F.col("need") - F.col("slack")).alias("least"))
+    rare = rare.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    pairs = hits.withColumn("part", F.pmod("rk", F.lit(PARTS)).cast("int")).join(rare, ["seed", "part"])
+    pairs = pairs.groupBy("id", "rk", "item").agg(F.sum("weight").alias("got"), F.first("least").alias("least")).where("got >= least")
+    wanted = pairs.join(items, "item").groupBy("id", "rk").agg(F.collect_list(F.struct("item_id", "copies", F.col("text").alias("words"))).alias("items"))
+    wanted = written(wanted, "pairs")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found, at = [], []
+            for k, (text, held) in enumerate(zip(b.column(2), b.column(3))):
+                doc = word_hashes(text.as_py())
+                for x in held.as_py():
+                    item = word_hashes(x["words"])
+                    tiles = tiled(item, doc, least)
+                    covered = sum(t[2] for t in tiles)
+                    if covered >= coverage * len(item):
+                        found.append((x["item_id"], x["copies"], len(item), covered, len(tiles)))
+                        at.append(k)
+            item_id, *rest = zip(*found) if found else ((),) * 5
+            at = pa.array(at, pa.int64())
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(item_id, b.column(3).type.value_type.field("item_id").type), *(pa.array(x, t) for x, t in zip(rest, kinds))], ["id", "rk", "item_id", "copies", "n_item", "n_tiled", "n_tiles"])
+
+    at = wanted.withColumnsRenamed({"id": "__id", "rk": "__rk"})
+    both = likely(rows, wanted, ["id", "rk"]).join(at, F.col("id").eqNullSafe(F.col("__id")) & (F.col("rk") == F.col("__rk"))).select("id", "rk", "text", "items")
+    kind, item_kind = rows.schema["id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
+    return both.mapInArrow(run, f"id {kind}, rk long, item_id {item_kind}, copies long, n_item int, n_tiled int, n_tiles int")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """doc_id, item_id, n_item, n_tiled, n_tiles, coverage: a row for each document and item that leaks into it.
 
+    Words are runs of ASCII letters, digits and other characters beyond ASCII, lower-cased. Null and empty texts
+    leak nothing; an item of fewer than ``least`` words has no room for a tile, so it can't leak. Repeated
+    documents and items each give their rows, ids may be null, either table may be empty, and other columns are
+    not read. Whole texts are searched, and each document's text is read twice whatever the benchmark's size.
+    """
+    kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+    found = _found(docs, benchmark, least, coverage, id_col, text_col, item_col, item_text)
+    if found is None:
+        return docs.sparkSession.createDataFrame([], f"doc_id {kind}, item_id {item_kind}, n_item int, n_tiled int, n_tiles int, coverage double")
+    found = found.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "n_item", "n_tiled", "n_tiles", (F.col("n_tiled") / F.col("n_item")).alias("coverage"))
 
-class Index:
-    """The items of one block: their words by number, and their seeds."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], seed: int) -> None:
-        self.number: dict[bytes, int] = {}
-        self.ids, self.items, by_hash = [], [], defaultdict(list)
-        for item_id, text in items:
-            w = words(text)
-            if len(w) < seed:
-                continue
-            a = np.array([self.number.setdefault(x, len(self.number) + 1) for x in w])
-            for h in set(rolling(a, seed).tolist()):
-                by_hash[h].append(len(self.items))
-            self.ids.append(item_id)
-            self.items.append(a)
-        self.seed, self.by_hash = seed, dict(by_hash)
-
-    def search(self, text: str | None, least: int, coverage: float) -> list[tuple[int | None, int, int, int]]:
-        """(item_id, words of it, tiled words, tiles) of the items that leak into a text."""
-        w = words(text)
-        if len(w) < self.seed or not self.by_hash:
-            return []
-        get = self.number.get
-        doc = np.fromiter((get(x, 0) for x in w), np.int64, count=len(w))
-        h = rolling(doc, self.seed)[_free(doc > 0, self.seed)]
-        seeds = {x for x in h.tolist() if x in self.by_hash}
-        out = []
-        for k in sorted({k for x in seeds for k in self.by_hash[x]}):
-            a = self.items[k]
-            mine = np.zeros(len(self.number) + 1, bool)
-            mine[a] = True
-            tiles = tile(a, np.where(mine[doc], doc, 0), least)
-            covered = sum(t[2] for t in tiles)
-            if covered >= coverage * len(a):
-                out.append((self.ids[k], len(a), covered, len(tiles)))
-        return out
-
-
-def _blocks(benchmark: DataFrame, seed: int, item_col: str, text_col: str) -> Iterator[tuple[DataFrame, object]]:
-    """A broadcast index for each block of items."""
-    spark = benchmark.sparkSession
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
-    n = -(-size // BLOCK_BYTES)
-    rows = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text"))
-    for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield part, spark.sparkContext.broadcast(Index([tuple(r) for r in part.sort("item_id", "text").collect()], seed))
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, least: int = LEAST, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """doc_id, item_id, n_item, n_tiled, n_tiles, coverage: a row for each document and item that leaks into it.
+def without_leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of docs into which nothing leaks, with all their columns; nulls and repeats as in ``leaks``.
 
-    Words are runs of ASCII letters, digits and other characters beyond ASCII, lower-cased. Null and empty texts leak nothing; items of fewer
-    than ``seed`` words take no part. Repeated documents and items each give their rows, ids may be null,
-    either table may be empty, and other columns are not read. Whole texts are searched.
+    Only rows that may be among those that leak, by a bitmap of fixed size, are moved.
     """
-    doc_type = docs.schema[id_col].dataType.simpleString()
-    item_type = benchmark.schema[item_col].dataType.simpleString()
-    schema = f"doc_id {doc_type}, item_id {item_type}, n_item int, n_tiled int, n_tiles int, coverage double"
-    src, out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), None
-    for part, index in _blocks(benchmark, seed, item_col, text_col):
-        kind = pa.int64() if item_type in ("bigint", "int") else pa.string()
-
-        def run(batches: Iterator[pa.RecordBatch], index=index, kind=kind) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                found = [(k, *x) for k, t in enumerate(b.column(1)) for x in index.value.search(t.as_py(), least, coverage)]
-                at, item, n, tiled, tiles = zip(*found) if found else ((), (), (), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(at, pa.int64())), pa.array(item, kind), *(pa.array(x, pa.int32()) for x in (n, tiled, tiles)), pa.array(np.divide(tiled, n) if found else [], pa.float64())],
-                    ["doc_id", "item_id", "n_item", "n_tiled", "n_tiles", "coverage"],
-                )
-
-        one = src.mapInArrow(run, schema)
-        out = one if out is None else out.unionByName(one)
-    return docs.sparkSession.createDataFrame([], schema) if out is None else out
-
-
-def without_leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, least: int = LEAST, coverage: float = COVERAGE, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """The rows of docs into which nothing leaks, with all their columns; no shuffle."""
-    k = docs.columns.index(text_col)
-    for _, index in _blocks(benchmark, seed, item_col, text_col):
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield b.filter(pa.array([not index.value.search(t.as_py(), least, coverage) for t in b.column(k)], pa.bool_()))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    found = _found(docs, benchmark, least, coverage, id_col, text_col, item_col, item_text)
+    if found is None:
+        return docs
+    bad = written(found.select("id", "rk").distinct(), "leaks")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("rk"))
+    at = bad.withColumnsRenamed({"id": "__id", "rk": "__rk"})
+    kept = likely(rows, bad, ["id", "rk"]).join(at, F.col("id").eqNullSafe(F.col("__id")) & (F.col("rk") == F.col("__rk")), "left_anti")
+    return unlikely(rows, bad, ["id", "rk"]).unionByName(kept).select("__doc.*")
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -214,21 +215,54 @@ def test_tiling_against_brute_force():
         assert sum(n for *_, n in tiles) == slow_tiles(a.tolist(), b.tolist(), 3)
 
 
-def test_decontamination(spark, monkeypatch):
+def test_tiling_of_repetitive_texts_is_bounded():
+    a, b = np.ones(2000, np.int64), np.ones(20_000, np.int64)
+    a[::7], b[::11] = 2, 3
+    began = time.time()
+    tiles = decontamination.tile(a, b, 3)
+    assert time.time() - began < 10 and all((a[i : i + n] == b[j : j + n]).all() for i, j, n in tiles)
+    spans = sorted((i, i + n) for i, _, n in tiles)
+    assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_decontamination(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
     w = item.split()
-    texts = [f"x y {item.upper()}, z", f"{' '.join(w[6:])} and {' '.join(w[:6])}", f"q {' '.join(w[:5])} r", "clean text without any of it at all", "", None, "alpha beta gamma delta"]
+    texts = [f"x y {item.upper()}, z", f"{' '.join(w[6:])} and {' '.join(w[:6])}", f"q {' '.join(w[:5])} r", "clean text without any of it at all", "", None, "alpha beta gamma delta", "delta epsilon zeta x alpha beta gamma", "too short", "it is too short here, so"]
     docs = spark.createDataFrame([(k, t, "n") for k, t in enumerate(texts)] + [(0, texts[0], "n"), (None, texts[0], "n")], "doc_id long, text string, item_id string")
-    bench = spark.createDataFrame([(1, item, 0), (2, "too short here", 0), (3, None, 0), (None, " ".join(reversed(w)), 0)], "item_id long, text string, doc_id int")
-    for size in (decontamination.BLOCK_BYTES, 40):
-        monkeypatch.setattr(decontamination, "BLOCK_BYTES", size)
-        got = Counter((r["doc_id"], r["item_id"], r["coverage"]) for r in decontamination.leaks(docs, bench).collect())
-        assert got == Counter({(0, 1, 1.0): 2, (1, 1, 1.0): 1, (None, 1, 1.0): 1})
-        clean = decontamination.without_leaks(docs, bench)
-        assert sorted(r["doc_id"] for r in clean.collect()) == [2, 3, 4, 5, 6] and clean.columns == docs.columns
+    bench = spark.createDataFrame([(1, item, 0), (2, "too short", 0), (3, None, 0), (None, " ".join(reversed(w)), 0), (4, "too short here", 0)], "item_id long, text string, doc_id int")
+    got = Counter((r["doc_id"], r["item_id"], r["coverage"]) for r in decontamination.leaks(docs, bench).collect())
+    assert got == Counter({(0, 1, 1.0): 2, (1, 1, 1.0): 1, (None, 1, 1.0): 1, (7, 1, 0.5): 1, (9, 4, 1.0): 1})
+    clean = decontamination.without_leaks(docs, bench)
+    assert sorted(r["doc_id"] for r in clean.collect()) == [2, 3, 4, 5, 6, 8] and clean.columns == docs.columns
     assert decontamination.leaks(docs, bench.limit(0)).count() == 0 and decontamination.leaks(docs.limit(0), bench).count() == 0
 
 
+def test_leaks_against_all_pairs(spark):
+    """Items in pieces of three and four words in another order, words that most texts share, repeated rows."""
+    r = np.random.RandomState(6)
+    common = [f"c{k}" for k in range(6)]
+    word = lambda: str(r.choice(common)) if r.rand() < 0.5 else f"w{r.randint(60)}"
+    items = [[word() for _ in range(r.randint(2, 40))] for _ in range(25)]
+    texts = [" ".join(word() for _ in range(r.randint(1, 120))) for _ in range(60)]
+    for x in items:
+        size = int(r.choice([3, 4, 7]))
+        parts = [x[i : i + size] for i in range(0, len(x), size)]
+        r.shuffle(parts)
+        texts.append(" ".join(w for p in parts[: max(1, len(parts) * 3 // 4)] for w in [*p, word()]))
+    rows = [(k, t) for k, t in enumerate(texts)] + [(3, texts[3]), (3, texts[4]), (None, texts[70]), (500, None)]
+    bench = [(k, " ".join(x)) for k, x in enumerate(items)] + [(0, " ".join(items[0])), (0, " ".join(items[1])), (None, None)]
+    want = Counter()
+    for i, t in rows:
+        for j, x in bench:
+            a, b = (x or "").split(), (t or "").split()
+            n = slow_tiles(a, b, 3)
+            if len(a) >= 3 and n >= 0.5 * len(a):
+                want[i, j, len(a), n] += 1
+    got = decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame(bench, "item_id long, text string"))
+    assert Counter((r["doc_id"], r["item_id"], r["n_item"], r["n_tiled"]) for r in got.collect()) == want and len(want) > 20
+
+
 def test_toxicity(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
     model = toxicity.train(docs, labels)
