@@ -6,9 +6,10 @@ Sorting every suffix of a corpus would move a multiple of it, so suffixes are fi
 1. Each window of ``length`` bytes has an anchor, the k-gram in it of least hash (the leftmost of equal
    ones). Equal windows have equal anchors at equal places, so only suffixes about anchors that occur
    more than once can matter. Neighbouring windows of one anchor form a cell, and cells move as hashes.
-2. Cells whose anchor occurs once are done. Cells equal as a whole are repeated as a whole. Of the rest,
-   one of each kind is cut out of its text, and the cells of an anchor are dealt by what lies right (or
-   left) of it, since of two equal windows at least half of the context is on one side.
+2. Cells whose anchor occurs once are done. Cells equal as a whole, by their length, their anchor's place and two
+   independent hashes of 64 and 62 bits, are repeated as a whole. Of the rest, one of each kind is cut out of its
+   text, and the cells of an anchor are dealt by what lies right (or left) of it, since of two equal windows at
+   least half of the context is on one side.
 3. There the suffixes that start at the anchors, and the reversed prefixes that end there, are sorted by
    mergesort. A comparison finds the common extension by binary search over prefix polynomial hashes, so
    it takes a logarithmic number of steps; the bytes then verify every extension, and a group whose
@@ -19,20 +20,21 @@ Polynomial hashes are taken modulo 2**64 over mixed byte values.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statuta.llm.common import shared_dir, table
+from statuta.llm.common import likely, table, written
 
 LENGTH, GRAM = 200, 60
 #: Window starts of a text, and bytes of several texts, that are hashed at once; suffixes that are sorted at once.
 PIECE, BUFFER, SORTED = 1 << 20, 1 << 20, 1 << 14
+#: Members of a kind of cells that one task may hold, and kinds that may have more: what is broadcast of them.
+HOT, HOT_KINDS = 10_000, 4096
 
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
@@ -55,11 +57,37 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
+#: A prime for second hashes, their two bases, and byte values below it.
+_PRIME, _BASES = (1 << 31) - 1, (1_103_515_245, 1_812_433_253)
+_SMALL = _VALUE % _U(_PRIME - 1) + _U(1)
+
+
+@lru_cache(maxsize=8)
+def _powers_mod(base: int, n: int) -> np.ndarray:
+    p = np.ones(n, np.uint64)
+    k = 1
+    while k < n:  # the powers so far, times the next one
+        p[k : 2 * k] = p[: min(k, n - k)] * _U(pow(base, k, _PRIME)) % _U(_PRIME)
+        k *= 2
+    return p
+
+
+def second_hashes(buf: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each span a:b of buf 62 bits of two polynomials modulo a prime, which have nothing to do with the hashes modulo 2**64."""
+    out = np.zeros(len(a), np.uint64)
+    for base in _BASES:
+        power, inverse = _powers_mod(base, BUFFER + 2 * PIECE), _powers_mod(pow(base, -1, _PRIME), BUFFER + 2 * PIECE)
+        h = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(_SMALL[buf] * power[: len(buf)] % _U(_PRIME), out=h[1:])  # below 2**53
+        out = (out << _U(31)) | ((h[b] - h[a]) % _U(_PRIME) * inverse[a] % _U(_PRIME))
+    return out
+
+
 def cells(buf: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(text, first window, windows, anchor's place in the first, anchor's hash, cell's hash) of texts that lie at lo:hi of buf."""
+    """(text, first window, windows, anchor's place in the first, anchor's hash, cell's two hashes) of texts that lie at lo:hi of buf."""
     n, width = len(buf), length - gram + 1
     if n < length:
-        return (np.empty(0, np.int64),) * 4 + (np.empty(0, np.uint64),) * 2
+        return (np.empty(0, np.int64),) * 4 + (np.empty(0, np.uint64),) * 3
     power, inverse = _powers(_BASE, BUFFER + 2 * PIECE), _powers(pow(_BASE, -1, 1 << 64), BUFFER + 2 * PIECE)
     h = np.zeros(n + 1, np.uint64)
     np.cumsum(_VALUE[buf] * power[:n], out=h[1:])
@@ -79,7 +107,7 @@ def cells(buf: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int, gram: in
     a, b = a[inside[a]], b[inside[a]]
     off = at[a] - a
     whole = mix(mix((h[b + length] - h[a]) * inverse[a]) + off.astype(np.uint64) * _U(_BASE))
-    return text[a], a - lo[text[a]], b - a + 1, off, grams[at[a]], whole
+    return text[a], a - lo[text[a]], b - a + 1, off, grams[at[a]], whole, second_hashes(buf, a, b + length)
 
 
 def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[tuple[int, int]], list[bytes]]]:
@@ -101,23 +129,23 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[tuple[int, i
 
 
 def find_cells(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc_id, rk, a, w, off, kh, ch for all cells of rows (doc_id, rk, bytes)."""
+    """doc_id, rk, a, w, off, kh, ch, c2 for all cells of rows (doc_id, rk, bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for where, held in _pieces([x.as_py() for x in batch.column(2)], length):
                 size = np.array([len(x) for x in held])
                 hi = np.cumsum(size)
-                text, a, w, off, kh, ch = cells(np.frombuffer(b"".join(held), np.uint8), hi - size, hi, length, gram)
+                text, a, w, off, kh, ch, c2 = cells(np.frombuffer(b"".join(held), np.uint8), hi - size, hi, length, gram)
                 row, x = np.array(where).T
                 row = pa.array(row[text])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(a + x[text], pa.int64()), pa.array(w, pa.int32()), pa.array(off, pa.int32()), pa.array(kh.view(np.int64)), pa.array(ch.view(np.int64))],
-                    ["doc_id", "rk", "a", "w", "off", "kh", "ch"],
+                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(a + x[text], pa.int64()), pa.array(w, pa.int32()), pa.array(off, pa.int32()), pa.array(kh.view(np.int64)), pa.array(ch.view(np.int64)), pa.array(c2.view(np.int64))],
+                    ["doc_id", "rk", "a", "w", "off", "kh", "ch", "c2"],
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, rk int, a long, w int, off int, kh long, ch long")
+    return rows.mapInArrow(run, f"doc_id {kind}, rk int, a long, w int, off int, kh long, ch long, c2 long")
 
 
 class Suffixes:
@@ -292,6 +320,16 @@ def sort_cells(cut: DataFrame, length: int, gram: int) -> DataFrame:
     return cut.repartition("key").mapInArrow(run, f"doc_id {kind}, rk int, a long, e long")
 
 
+def _members(found: DataFrame, kinds: DataFrame, on: list[str]) -> DataFrame:
+    """The cells of the kinds (with n, their members). Kinds of many members are dealt to parts of ``HOT`` or more: there are at most ``HOT_KINDS`` of those."""
+    total = kinds.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    kinds = kinds.withColumn("parts", F.ceil(F.col("n") / F.lit(max(HOT, total // HOT_KINDS))).cast("int"))
+    hot = kinds.where("parts > 1").select(*on, "parts")
+    cells = likely(found, kinds, on).join(F.broadcast(hot), on, "left")
+    cells = cells.withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc_id", "a"), "parts"), F.lit(0)).cast("int")).drop("parts")
+    return cells.join(kinds.select(*on, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), [*on, "part"])
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, spans (array of start, end of the removed runs, in bytes), kept (the remaining bytes).
 
@@ -299,20 +337,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     of their own, so that each is a repeat of the other. Null ids are kept, rows may share an id, an
     empty table gives no rows, and other columns are not read. Matches never cross texts.
     """
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.hash(text).alias("rk"), text.cast("binary").alias("bytes"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = find_cells(rows.where(F.octet_length("bytes") >= length), length, gram)
-    anchors = found.groupBy("kh").agg(F.count("*").alias("n"), F.min("ch").alias("lo"), F.max("ch").alias("hi")).where("n > 1").select("kh", (F.col("lo") != F.col("hi")).alias("mixed"))
-    at = f"{shared_dir(spark)}/cells-{uuid.uuid4().hex}"
-    found.join(anchors, "kh").write.parquet(at)
-    hits = spark.read.parquet(at)
-    mixed = hits.where("mixed")
-    kinds = mixed.groupBy("kh", "ch").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "rk", "a", "w", "off")).alias("one"))
-    again = mixed.join(kinds.where("n > 1").select("kh", "ch"), ["kh", "ch"], "left_semi")
-    whole = hits.where("not mixed").unionByName(again).select("doc_id", "rk", "a", (F.col("a") + F.col("w") - 1 + length).alias("e"))
-    part = sort_cells(cut_out(rows, kinds.select("one.*", "kh"), length, gram), length, gram)
+    found = written(find_cells(rows.where(F.octet_length("bytes") >= length), length, gram), "cells")
+    kind_of, place = ["kh", "ch", "c2", "w", "off"], ["doc_id", "rk", "a"]
+    # equal cells fold to one kind before anything meets by its anchor, so a passage of many texts is a row
+    kinds = found.groupBy(*kind_of).agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in place])
+    by_anchor = Window.partitionBy("kh")
+    kinds = kinds.select("*", F.sum("n").over(by_anchor).alias("total"), (F.count("*").over(by_anchor) > 1).alias("mixed"))
+    kinds = written(kinds.where("total > 1").drop("total"), "kinds")
+    whole = _members(found, kinds.where("n > 1").select(*kind_of, "n"), kind_of)
+    whole = whole.select("doc_id", "rk", "a", (F.col("a") + F.col("w") - 1 + length).alias("e"))
+    part = sort_cells(cut_out(rows, kinds.where("mixed").select(*place, "w", "off", "kh"), length, gram), length, gram)
     runs = whole.unionByName(part).groupBy("doc_id", "rk").agg(F.collect_list(F.struct("a", "e")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
