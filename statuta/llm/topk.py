@@ -1,11 +1,12 @@
 """Exact top-k by inner product over an impact-ordered, score-at-a-time index (operator 9).
 
-A component's value is its posting's impact. Impacts are quantised in levels, coarsest first; a segment
-holds what the postings of a block of vectors add at one level. For a block of queries the segments are
-processed by descending impact into accumulators. After each, what a vector may still gain is at most
-the query's norm times the norm of the vector's unprocessed rest, so each score is known within bounds.
-Vectors whose upper bound is below the k-th lower bound cannot be members; when few may be, or all
-segments are done, those are rescored exactly. Nothing is cut off without that proof.
+A component's size is its posting's impact, quantised to its number of bits. A block of vectors is indexed by
+posting segments: the postings of one dimension and one quantised impact. For a query the segments are
+processed by descending impact times the query's component, in tiers whose impacts are within a factor of two,
+into accumulators. After each tier, what a vector may still gain is at most the norm of its unprocessed
+components times the norm of the query's, so each score is known within bounds. Vectors whose upper bound is
+below the k-th lower bound cannot be members; once few may be, or all segments are done, those are rescored
+exactly. Nothing is cut off without that proof.
 """
 
 from __future__ import annotations
@@ -17,24 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statuta.llm.common import materialize, table
+from statuta.llm.common import materialize, table, written
 
-#: Queries that are broadcast at a time, and those that share accumulators.
-QUERIES, TOGETHER = 4096, 256
-#: Bits below which each level's impacts are cut; the last bits are left to rescoring.
-LEVELS = (7, 5, 3)
-#: Possible members per query, in multiples of k, at which rescoring is cheaper than another segment.
-FEW = 3
-
-
-def segments(v: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(what each posting adds at the level, norm of each vector's rest after it), coarsest level first."""
-    size, done = np.abs(v), np.zeros_like(v)
-    for bits in LEVELS:
-        upto = np.sign(v) * ((size >> bits) << bits)
-        rest = (v - upto).astype(float)
-        yield (upto - done).astype(float), np.sqrt((rest**2).sum(axis=1))
-        done = upto
+#: Queries that are held at a time, and vectors that are indexed together.
+QUERIES, BLOCK = 4096, 8192
+#: Possible members of a query, in multiples of k or as a share of a block (one in so many), at which rescoring is cheaper than another tier.
+FEW, SHARE = 3, 32
 
 
 def exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -45,33 +34,51 @@ def exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.array([min(max(int(x), -(2**63)), 2**63 - 1) for x in wide], np.int64)
 
 
-def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vector, score) of all vectors that may be among a query's k best; least: scores that k vectors reach already."""
-    acc = np.zeros((len(q), len(v)))
-    own = q_ids[:, None] == ids[None, :]
-    qf, qn = q.astype(float), np.sqrt((q.astype(float) ** 2).sum(axis=1))
-    vn = np.sqrt((v.astype(float) ** 2).sum(axis=1))
-    alive = ~own
-    for add, rest in segments(v):
-        acc += qf @ add.T
-        slack = qn[:, None] * (rest + 1e-9 * vn)[None, :] + 1e-6
-        low = np.where(own, -np.inf, acc - slack)
-        bound = least
-        if len(v) > k:
-            bound = np.maximum(bound, np.partition(low, len(v) - k, axis=1)[:, len(v) - k])
-        alive = ~own & (acc + slack >= bound[:, None])
-        if alive.sum() <= FEW * k * len(q):
-            break
-    i, j = np.nonzero(alive)
-    scores = np.concatenate([exact(q[i[a : a + 100_000]], v[j[a : a + 100_000]]) for a in range(0, len(i), 100_000)]) if len(i) else np.empty(0, np.int64)
-    return i, ids[j], scores
-
-
-def first_k(i: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of each query's k highest scores, ties to the smaller id; sorted by query and rank."""
-    order = np.lexsort((ids, -scores, i))
-    start = np.searchsorted(i[order], i[order])
-    return order[np.arange(len(order)) - start < k]
+class Index:
+    """The posting segments of a block of integer vectors, each sorted by dimension and quantised impact."""
+
+    def __init__(self, ids: np.ndarray, v: np.ndarray) -> None:
+        self.ids, self.v = ids, v
+        size = np.abs(v.astype(float))
+        vec, dim = np.nonzero(v)
+        impact = np.frexp(size[vec, dim])[1]  # the number of bits: a posting of impact i is below 2**i
+        order = np.lexsort((-impact, dim))
+        self.vec, dim, impact = vec[order], dim[order], impact[order]
+        self.value = v[self.vec, dim].astype(float)
+        self.begin = np.flatnonzero(np.concatenate([[True], (dim[1:] != dim[:-1]) | (impact[1:] != impact[:-1])])) if len(dim) else np.empty(0, np.int64)
+        self.end = np.append(self.begin[1:], len(dim))[: len(self.begin)]
+        self.dim, self.impact = dim[self.begin], impact[self.begin]
+        self.norm2 = (size**2).sum(axis=1)
+        self.processed = self.skipped = 0
+
+    def search(self, q_id: int, q: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of all vectors of other ids that may be among the query's k best; least: a score that k vectors reach already."""
+        n, qf = len(self.ids), q.astype(float)
+        acc, own = np.zeros(n), self.ids == q_id
+        rest_v, rest_q = self.norm2.copy(), np.full(n, (qf**2).sum())
+        slack = 1e-9 * np.sqrt(rest_v * rest_q) + 1e-6
+        alive = ~own
+        used = np.flatnonzero(qf[self.dim])  # other segments add nothing
+        tier = np.frexp(np.abs(qf[self.dim[used]]))[1] + self.impact[used]
+        done = 0
+        for t in np.unique(tier)[::-1]:
+            now = used[tier == t]
+            size = self.end[now] - self.begin[now]
+            at = np.arange(size.sum()) + np.repeat(self.begin[now] - (np.cumsum(size) - size), size)
+            vec, value, part = self.vec[at], self.value[at], np.repeat(qf[self.dim[now]], size)
+            acc += np.bincount(vec, value * part, n)
+            rest_v -= np.bincount(vec, value**2, n)
+            rest_q -= np.bincount(vec, part**2, n)
+            done += len(now)
+            reach = np.sqrt(np.maximum(rest_v, 0) * np.maximum(rest_q, 0)) + slack
+            low = np.where(own, -np.inf, acc - reach)
+            bound = max(least, np.partition(low, n - k)[n - k]) if n > k else least
+            alive = ~own & (acc + reach >= bound)
+            if alive.sum() <= max(FEW * k, n // SHARE):
+                break
+        self.processed, self.skipped = self.processed + done, self.skipped + len(used) - done
+        found = np.flatnonzero(alive)
+        return self.ids[found], exact(np.broadcast_to(q, (len(found), len(q))), self.v[found])
 
 
 def vectors(df: DataFrame, scale: float = 1024.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -83,58 +90,56 @@ def vectors(df: DataFrame, scale: float = 1024.0, id_col: str = "vec_id", vec_co
     return rows.select("vec_id", F.transform("x", lambda e: F.floor(e * F.lit(scale)).cast("long")).alias("q"))
 
 
+def _of_block(vecs: DataFrame, part: list, k: int) -> DataFrame:
+    """query (its place in part), query_id, vec_id, score: at least the k best of every task's vectors for each query of part (rows of vec_id, q)."""
+    by_size: dict[int, list[int]] = {}
+    for place, r in enumerate(part):
+        by_size.setdefault(len(r["q"]), []).append(place)
+    sent = vecs.sparkSession.sparkContext.broadcast({d: [(p, part[p]["vec_id"], np.array(part[p]["q"], np.int64)) for p in places] for d, places in by_size.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for b in batches:
+            ids, lists = b.column(0).to_numpy(zero_copy_only=False), b.column(1)
+            offset = lists.offsets.to_numpy()
+            flat, size, offset = lists.values.to_numpy(zero_copy_only=False), np.diff(offset), offset[:-1]
+            for d in np.unique(size).tolist():
+                rows = np.flatnonzero(size == d) if d in sent.value else ()
+                for a in range(0, len(rows), BLOCK):
+                    some = rows[a : a + BLOCK]
+                    index = Index(ids[some], flat[offset[some][:, None] + np.arange(d)[None, :]])
+                    for place, q_id, q in sent.value[d]:
+                        j, s = held.get(place, (np.empty(0, np.int64),) * 2)
+                        new = index.search(q_id, q, k, float(s[k - 1]) if len(s) >= k else -np.inf)
+                        j, s = np.concatenate([j, new[0]]), np.concatenate([s, new[1]])
+                        keep = np.lexsort((j, -s))[:k]
+                        held[place] = j[keep], s[keep]
+        of = {place: q_id for some in sent.value.values() for place, q_id, _ in some}
+        for place, (j, s) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), place, np.int32)), pa.array(np.full(len(j), of[place], np.int64)), pa.array(j), pa.array(s)], ["query", "query_id", "vec_id", "score"])
+
+    return vecs.select("vec_id", "q").mapInArrow(run, "query int, query_id long, vec_id long, score long")
+
+
 def search(vecs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: the k vectors of highest inner product for each query, itself excluded.
 
     Both frames have vec_id and q (arrays of long). Vectors meet queries of the same number of
     components only. Ties go to the smaller id; repeated rows of an id are vectors of their own, but
-    none answers a query of that id. Queries go to the workers in blocks of ``QUERIES``; each block
-    meets all vectors, and a task sends on k rows a query.
+    none answers a query of that id. Queries of one id with different vectors have a list each; queries repeated
+    whole are one. Queries go to the workers in blocks of about ``QUERIES``, one block at a time: the driver holds
+    no more of them, and what a block finds, k rows a query and task, is written before the next.
     """
-    spark = vecs.sparkSession
-    schema = "query_id long, vec_id long, score long"
-    count = queries.count()
-    blocks = -(-count // QUERIES)
-    out = spark.createDataFrame([], schema) if not blocks else None
+    schema = "query_id long, rank int, vec_id long, score long"
+    queries = materialize(queries.distinct().withColumn("block", F.xxhash64("vec_id", "q")))
+    blocks, out = -(-queries.count() // QUERIES), None
     for n in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n).distinct().sort("vec_id", "q").collect()
-        by_size: dict[int, list] = {}
-        for r in part:
-            by_size.setdefault(len(r["q"]), []).append(r)
-        sent = spark.sparkContext.broadcast({d: (np.array([r["vec_id"] for r in rows], np.int64), np.array([r["q"] for r in rows], np.int64).reshape(len(rows), d)) for d, rows in by_size.items()})
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            held: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-            for b in batches:
-                ids = b.column(0).to_numpy(zero_copy_only=False)
-                lists = b.column(1)
-                size = np.diff(lists.offsets.to_numpy())
-                flat, offset = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()[:-1]
-                for d in np.unique(size):
-                    if int(d) not in sent.value:
-                        continue
-                    rows = np.flatnonzero(size == d)
-                    v = flat[offset[rows][:, None] + np.arange(d)[None, :]]
-                    q_ids, q = sent.value[int(d)]
-                    for a in range(0, len(q), TOGETHER):
-                        key = (int(d), a)
-                        i, j, s = held.get(key, (np.empty(0, np.int64),) * 3)
-                        least = np.full(len(q[a : a + TOGETHER]), -np.inf)
-                        if len(i):
-                            n_each = np.bincount(i, minlength=len(least))
-                            full = np.flatnonzero(n_each >= k)
-                            least[full] = s[np.cumsum(n_each)[full] - 1]
-                        new = best(q_ids[a : a + TOGETHER], q[a : a + TOGETHER], ids[rows], v, k, least)
-                        i, j, s = (np.concatenate(x) for x in zip((i, j, s), new))
-                        keep = first_k(i, j, s, k)
-                        held[key] = i[keep], j[keep], s[keep]
-            for (d, a), (i, j, s) in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array(sent.value[d][0][a + i]), pa.array(j), pa.array(s)], ["query_id", "vec_id", "score"])
-
-        one = vecs.select("vec_id", "q").mapInArrow(run, schema)
+        part = queries.where(F.pmod("block", F.lit(blocks)) == n).sort("vec_id", "q").collect()  # about QUERIES rows
+        rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
+        one = _of_block(vecs, part, k).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        one = one if blocks == 1 else written(one, "topk")
         out = one if out is None else out.unionByName(one)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return vecs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,10 +153,10 @@ WITH v AS (
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+  SELECT a.vec_id AS query_id, a.q AS q, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM (SELECT DISTINCT * FROM v) a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id, q ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 10
 """
