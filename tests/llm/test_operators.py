@@ -101,6 +101,21 @@ def test_licenses(spark, docs):
     assert licenses.scan(docs).count() == docs.count() and licenses.scan(edge.empty(spark)).count() == 0
 
 
+def test_licenses_by_long_templates(spark):
+    """A template of 300 words, whole, with words added, changed and left out, cut short, and in another order."""
+    r = np.random.RandomState(3)
+    w = [f"w{r.randint(120)}" for _ in range(300)]
+    text = " ".join(w)
+    changed = " ".join(x for k, x in enumerate(w) for x in (["added", x] if k % 60 == 7 else [] if k % 60 == 31 else ["other"] if k % 60 == 50 else [x]))
+    half, shuffled = " ".join(w[:140]), " ".join(r.permutation(w))
+    rows = [(0, f"before, {text.upper()} after"), (1, changed), (2, half), (3, shuffled), (4, f"{changed} {half}"), (5, "ordinary words"), (6, None)]
+    got = {x["doc_id"]: x for x in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), {}, {text: "long", "of the same kind": "short"}).collect()}
+    assert {k: x["labels"] for k, x in got.items()} == {0: "long", 1: "long", 2: "", 3: "", 4: "long", 5: "", 6: ""}
+    assert got[0]["score"] == 1 and 0.85 < got[1]["score"] < 1 and got[2]["score"] == pytest.approx(140 / 300) and got[3]["score"] < 0.3
+    with pytest.raises(ValueError):
+        licenses.templates(spark, {"word": "x"}, {})
+
+
 def slow_repeats(texts, length):
     seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
