@@ -25,10 +25,32 @@ def shared_dir(spark: SparkSession) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Folders that ``written`` made and nobody has removed.
+_FOLDERS: list[str] = []
+
+
+def folders() -> int:
+    """How many folders there are: what ``remove_folders`` is told later."""
+    return len(_FOLDERS)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_folders(spark: SparkSession, since: int) -> None:
+    """Remove what has been written since; for callers that have written the result of all that read it."""
+    for folder in _FOLDERS[since:]:
+        remove(spark, folder)
+    del _FOLDERS[since:]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read again; what they were shuffled by leaves the disks."""
     spark = df.sparkSession
     at, before = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(_CLEANUP, None)
+    _FOLDERS.append(at)
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.parquet(at)

@@ -17,7 +17,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statuta.llm import near
@@ -241,14 +241,19 @@ def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, budget: int
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The documents without near-duplicates: of each component the row with the smallest id stays.
 
-    Rows with a null id stay. Of rows that repeat the smallest id, with whatever texts, each stays.
+    Of rows that repeat the smallest id one stays, that with the smallest hash of its text. Rows with a null id
+    are nobody's copies and all stay. An empty table gives no rows.
     """
     if how.get("similar") is not None:
         found = near.components(docs, how["words"], how["similar"], id_col, text_col)
     else:
         found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
     drop = found.where("component_id < doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(drop, docs[id_col] == F.col("__id"), "left_anti")
+    kept = docs.join(drop, F.col(id_col) == F.col("__id"), "left_anti")
+    text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    # rows without an id are spread by their texts and none is left out
+    place = F.row_number().over(Window.partitionBy(id_col, F.when(F.col(id_col).isNull(), text)).orderBy(text))
+    return kept.withColumn("__place", place).where(F.col(id_col).isNull() | (F.col("__place") == 1)).select(*docs.columns)
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

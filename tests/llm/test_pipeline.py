@@ -1,10 +1,12 @@
 """Each stage of the pipeline against what its operator says of the stage's own input, and the whole of it."""
 
+import os
 import random
 from collections import Counter
 
 import corpus_pipeline
 from statuta.llm import decontamination, lines, packing, simhash, toxicity
+from tests.llm import edge
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,10 +42,25 @@ def test_near_dedup_links_at_the_threshold_and_not_below(spark):
                 root[b] = a
     df = spark.createDataFrame(rows, "doc_id long, text string")
     kept = Counter(x["doc_id"] for x in corpus_pipeline.near_dedup(spark, df, SF).collect())
-    assert kept == Counter(i for i, _ in rows if i is None or find(i) == i)
+    assert kept == Counter([i for i, _ in rows if i is None] + [*{i for i, _ in rows if i is not None and find(i) == i}])
     assert corpus_pipeline.near_dedup(spark, df.limit(0), SF).count() == 0
 
 
+def test_stages_take_every_awkward_row(spark, tmp_path):
+    """Nulls, empty texts, repeated rows, clashing columns, an empty table: each stage runs, and keeps its columns."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars", "item_id", "toks", "line"]
+    rows = [(r[0], r[1], r[2], None, len(r[1] or ""), "x", 1, "y") for r in edge.rows()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, item_id string, toks int, line string")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert name == "packing" or docs.columns == columns and docs.count() > 20
+        if name == "near_dedup":
+            ids = Counter(r[0] for r in docs.select("doc_id").collect())
+            assert all(n == 1 for i, n in ids.items() if i is not None)
+
+
 def test_stages(spark, tmp_path):
     docs = before = spark.read.parquet(f"{SF}/documents.parquet")
     columns, kept = docs.columns, {}
@@ -74,4 +91,6 @@ def test_stages(spark, tmp_path):
     assert set(packed["doc_id"]) == {r["doc_id"] for r in kept["decontamination"].collect()}
     assert (packed["offset"] == packed.groupby("sequence_id")["length"].cumsum() - packed["length"]).all()
     assert Counter(map(tuple, corpus_pipeline.run(spark, SF).select("doc_id", "piece", "ids_crc32").collect())) == Counter(map(tuple, kept["packing"].select("doc_id", "piece", "ids_crc32").collect()))
+    left = [x for x in os.listdir(spark.conf.get("spark.checkpoint.dir")) if x.startswith("pipeline-")]
+    assert all(os.listdir(f"{spark.conf.get('spark.checkpoint.dir')}/{x}") == ["3_decontamination"] for x in left) and left
     assert packing.pack(before.limit(0)).count() == 0
