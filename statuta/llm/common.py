@@ -46,17 +46,18 @@ def remove_folders(spark: SparkSession, since: int) -> None:
     del _FOLDERS[since:]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written to the shared folder and read again; what they were shuffled by leaves the disks."""
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """The rows, written to the shared folder and read again; what they were shuffled by leaves the disks. With ``folder``, there."""
     spark = df.sparkSession
-    at, before = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(_CLEANUP, None)
-    _FOLDERS.append(at)
+    at, before = folder or f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(_CLEANUP, None)
+    if not folder:
+        _FOLDERS.append(at)
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.parquet(at)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    return spark.read.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
 
 
 #: Words of 64 bits in the bitmap of wanted keys: its size, whatever their number.
@@ -82,9 +83,8 @@ def unlikely(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage with a table in the shared folder."""
+    return written(df, "step")
 
 
 def ascii_lower(text: Column) -> Column:

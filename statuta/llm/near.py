@@ -5,7 +5,9 @@ of a bounded number of hash buckets, then by hash; only prefixes are joined, und
 positional filters, and every pair that stays is verified on the whole sets, so no pair is missed and none is
 linked below the threshold. Texts of equal sets fall together first. A set is first held against one holder
 of each of its prefix tokens; the join of all holders then leaves out pairs that those links connect already,
-so a large group of near copies costs links, not pairs.
+so a large group of near copies costs links, not pairs. Before whole sets are fetched, pairs pass a filter by
+signatures: a set's is a bitmap of the parities of its hashes' counts, and the bits in which two differ are at
+most the elements that are in one set only, so no similar pair is lost.
 """
 
 from __future__ import annotations
@@ -19,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statuta.llm.common import connected_components, materialize
+from statuta.llm.common import connected_components, likely, materialize
 from statuta.llm.lines import _close, _pairs, least
 
-#: Hash buckets whose counts order shingles by rarity.
-BUCKETS = 1 << 16
+#: Hash buckets whose counts order shingles by rarity, and bits of a signature.
+BUCKETS, SIGNATURE = 1 << 16, 1024
 
 
 def shingles(text: bytes | None, words: int) -> np.ndarray:
@@ -67,7 +69,7 @@ def rarity(texts: DataFrame, words: int) -> np.ndarray:
 
 
 def prefixes(texts: DataFrame, words: int, t: float, levels: np.ndarray) -> DataFrame:
-    """doc_id, sid (hash of the set), n (its size), prefix: its rarest tokens, as many as t asks for, in order."""
+    """doc_id, sid (hash of the set), n (its size), sig (its signature), prefix: its rarest tokens, as many as t asks for, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -77,9 +79,20 @@ def prefixes(texts: DataFrame, words: int, t: float, levels: np.ndarray) -> Data
                 key = np.sort((levels[(h % np.uint64(BUCKETS)).astype(np.int64)] << np.uint64(53)) | (h >> np.uint64(11)))
                 cut.append(key[: len(h) - math.ceil(t * len(h) - 1e-9) + 1])
             ids = pa.array([_set_id(h) for h in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([len(h) for h in sets], pa.int32()), _lists(cut)], ["doc_id", "sid", "n", "prefix"])
+            odd = [np.bincount((h >> np.uint64(20)).astype(np.int64) % SIGNATURE, minlength=SIGNATURE) & 1 for h in sets]
+            sig = _lists([np.packbits(x.astype(bool)).view(np.uint64) for x in odd])
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([len(h) for h in sets], pa.int32()), sig, _lists(cut)], ["doc_id", "sid", "n", "sig", "prefix"])
 
-    return texts.mapInArrow(run, "doc_id long, sid long, n int, prefix array<long>")
+    return texts.mapInArrow(run, "doc_id long, sid long, n int, sig array<long>, prefix array<long>")
+
+
+def _likely_similar(pairs: DataFrame, heads: DataFrame, t: float) -> DataFrame:
+    """The pairs (x, y) of set ids whose signatures leave room for the similarity."""
+    of = lambda c: heads.select(F.col("sid").alias(c), F.col("n").alias(f"{c}n"), F.col("sig").alias(f"{c}s"))
+    both = pairs.join(of("x"), "x").join(of("y"), "y")
+    apart = F.aggregate(F.zip_with("xs", "ys", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
+    n = F.col("xn") + F.col("yn")
+    return both.where(F.floor((n - apart) / 2) >= least(t / (1 + t), n)).select("x", "y")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, known: DataFrame, words: int, t: float) -> DataFrame:
@@ -92,7 +105,8 @@ def _similar(pairs: DataFrame, texts: DataFrame, known: DataFrame, words: int, t
 
     sids = pairs.select(F.col("x").alias("sid")).unionByName(pairs.select(F.col("y").alias("sid"))).distinct()
     wanted = materialize(sids.join(known, "sid"))
-    of = texts.join(wanted.select(F.col("v").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    ids = wanted.select(F.col("v").alias("doc_id")).distinct()
+    of = likely(texts, ids, ["doc_id"]).join(ids, "doc_id", "left_semi").select("doc_id", "text")
     whole = of.mapInArrow(run, "sid long, set array<long>").join(wanted.select("sid"), "sid", "left_semi")
     whole = materialize(whole.dropDuplicates(["sid"]))
     both = pairs.join(whole.select(F.col("sid").alias("x"), F.col("set").alias("u")), "x").join(whole.select(F.col("sid").alias("y"), F.col("set").alias("v")), "y")
@@ -108,7 +122,7 @@ def components(docs: DataFrame, words: int, t: float, id_col: str = "doc_id", te
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).where(F.col("doc_id").isNotNull())
     rows = materialize(prefixes(texts, words, t, rarity(texts, words)))
     known = rows.groupBy("sid").agg(F.min("doc_id").alias("v"))
-    heads = rows.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    heads = materialize(rows.where("n > 0").groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n", "sig", "prefix")]))
     # flat rows are moved; structs are made where they arrive
     postings = heads.select(F.col("sid").alias("id"), "n", F.posexplode("prefix").alias("i", "tok")).repartition("tok")
     postings = postings.select("tok", F.struct("id", "n", "i").alias("x"))
@@ -117,14 +131,14 @@ def components(docs: DataFrame, words: int, t: float, id_col: str = "doc_id", te
     shared = materialize(shared.where("top <> y.id").select("tok", "x", "y"))
 
     first = materialize(_pairs(shared.where((F.col("x.id") != F.col("y.id")) & _close("x", "y", t)), t))
-    sure = materialize(_similar(first, texts, known, words, t))
+    sure = materialize(_similar(materialize(_likely_similar(first, heads, t)), texts, known, words, t))
     label = connected_components(sure, "x", "y")
     held = shared.select("tok", "x", F.col("x.id").alias("__v")).join(label.withColumnRenamed("v", "__v"), "__v", "left")
     held = held.select("tok", "x", F.coalesce("component", "__v").alias("c"))
     other = held.select("tok", F.col("x").alias("y"), F.col("c").alias("d"))
     rest = held.join(other, "tok").where((F.col("y.id") < F.col("x.id")) & (F.col("c") != F.col("d")) & _close("x", "y", t))
     # a pair of a first holder has been judged on whole sets above
-    rest = materialize(_pairs(rest, t).join(first, ["x", "y"], "left_anti"))
+    rest = materialize(_likely_similar(_pairs(rest, t).join(first, ["x", "y"], "left_anti"), heads, t))
     found = sure.unionByName(_similar(rest, texts, known, words, t))
 
     head = lambda c, v: known.select(F.col("sid").alias(c), F.col("v").alias(v))
