@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return written(df, "step")
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function over batches that gives back what memory it freed when it ends: workers live on for other tasks."""
+
+    def whole(batches: Iterator) -> Iterator:
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else; ``lower`` does that for texts without other letters."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

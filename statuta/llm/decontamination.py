@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statuta.llm.common import likely, table, unlikely, written
+from statuta.llm.common import lean, likely, table, unlikely, written
 
 #: Words of the shortest tile and of a seed, and the share of an item's words that makes a leak.
 LEAST, COVERAGE = 3, 0.5
@@ -193,7 +193,7 @@ def _hits(docs: DataFrame, bitmap: object, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(seeds)], ["id", "rk", "seed"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, rk long, seed long")
+    return docs.mapInArrow(lean(run), f"id {kind}, rk long, seed long")
 
 
 def _found(docs: DataFrame, benchmark: DataFrame, least: int, coverage: float, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame | None:
@@ -244,7 +244,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, least: int, coverage: float, i
     at = wanted.withColumnsRenamed({"id": "__id", "rk": "__rk"})
     both = likely(rows, wanted, ["id", "rk"]).join(at, F.col("id").eqNullSafe(F.col("__id")) & (F.col("rk") == F.col("__rk"))).select("id", "rk", "text", "items")
     kind, item_kind = rows.schema["id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-    return both.mapInArrow(run, f"id {kind}, rk long, item_id {item_kind}, copies long, n_item int, n_tiled int, n_tiles int")
+    return both.mapInArrow(lean(run), f"id {kind}, rk long, item_id {item_kind}, copies long, n_item int, n_tiled int, n_tiles int")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:

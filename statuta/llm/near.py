@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statuta.llm.common import connected_components, likely, materialize
+from statuta.llm.common import connected_components, lean, likely, materialize
 from statuta.llm.lines import _close, _pairs, least
 
 #: Hash buckets whose counts order shingles by rarity, and bits of a signature.
@@ -63,7 +63,7 @@ def rarity(texts: DataFrame, words: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], ["b", "n"])
 
     total = np.zeros(BUCKETS, np.int64)
-    for r in texts.mapInArrow(run, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect():  # BUCKETS rows at most
+    for r in texts.mapInArrow(lean(run), "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect():  # BUCKETS rows at most
         total[r["b"]] = r["n"]
     return np.minimum(1023, np.round(24 * np.log2(total + 1))).astype(np.uint64)
 
@@ -83,7 +83,7 @@ def prefixes(texts: DataFrame, words: int, t: float, levels: np.ndarray) -> Data
             sig = _lists([np.packbits(x.astype(bool)).view(np.uint64) for x in odd])
             yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([len(h) for h in sets], pa.int32()), sig, _lists(cut)], ["doc_id", "sid", "n", "sig", "prefix"])
 
-    return texts.mapInArrow(run, "doc_id long, sid long, n int, sig array<long>, prefix array<long>")
+    return texts.mapInArrow(lean(run), "doc_id long, sid long, n int, sig array<long>, prefix array<long>")
 
 
 def _likely_similar(pairs: DataFrame, heads: DataFrame, t: float) -> DataFrame:
@@ -107,7 +107,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, known: DataFrame, words: int, t
     wanted = materialize(sids.join(known, "sid"))
     ids = wanted.select(F.col("v").alias("doc_id")).distinct()
     of = likely(texts, ids, ["doc_id"]).join(ids, "doc_id", "left_semi").select("doc_id", "text")
-    whole = of.mapInArrow(run, "sid long, set array<long>").join(wanted.select("sid"), "sid", "left_semi")
+    whole = of.mapInArrow(lean(run), "sid long, set array<long>").join(wanted.select("sid"), "sid", "left_semi")
     whole = materialize(whole.dropDuplicates(["sid"]))
     both = pairs.join(whole.select(F.col("sid").alias("x"), F.col("set").alias("u")), "x").join(whole.select(F.col("sid").alias("y"), F.col("set").alias("v")), "y")
     return both.where(F.size(F.array_intersect("u", "v")) >= least(t / (1 + t), F.size("u") + F.size("v"))).select("x", "y")

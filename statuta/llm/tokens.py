@@ -30,7 +30,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _PROVEN = r"[^\x00-\u0557\u2010-\u2064\u20a0-\u20bf]"
 
 #: Entries that a worker's table of merged pre-tokens may hold before it starts anew.
-TABLE_ENTRIES = 300_000
+TABLE_ENTRIES = 100_000
 
 
 def resolve(tokenizer: str) -> str:
