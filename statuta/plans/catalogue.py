@@ -1,7 +1,8 @@
 """Queries over the driver's tables, each with the SQL that gives the same rows.
 
 The tables hold no legal texts, so each query binds an operator to columns of the same shape: events are
-edits (a user is a provision, a sign-up its enactment, a purchase a replacement, an error a repeal),
+edits (a user is a provision, a sign-up its enactment, an error whose id is divisible by 20 a repeal, other errors
+and purchases replacements),
 orders and lines are instruments and their parts, documents are pages.
 """
 
@@ -369,14 +370,14 @@ def graph_traverse(spark, d):
 def _versions(spark, d):
     e = t(spark, d, "events").select("user_id", F.to_date("ts").alias("day"), "event_id", "event_type")
     base = e.where("event_type = 'signup'").groupBy(F.col("user_id").alias("aid")).agg(F.min("day").alias("valid_from")).withColumn("text", F.lit("enacted"))
-    action = F.when(F.col("event_type") == "error", "repeals").otherwise("replaces")
+    action = F.when((F.col("event_type") == "error") & (F.col("event_id") % 20 == 0), "repeals").otherwise("replaces")
     edits = e.where("event_type in ('purchase', 'error')").select(F.col("user_id").alias("aid"), F.col("day").alias("effective_date"), F.col("event_id").alias("ordinal"), F.lit("").alias("source"), action.alias("action"), F.when(action == "replaces", F.concat(F.lit("e"), F.col("event_id").cast("string"))).alias("text"))
     later = edits.join(base.select("aid", "valid_from"), "aid").where("effective_date > valid_from").drop("valid_from")
     return timeline.fold(base, later)
 
 
 _VERSIONS = """b AS (SELECT user_id AS aid, min(CAST(ts AS DATE)) AS vf FROM events WHERE event_type = 'signup' GROUP BY 1),
-x AS (SELECT user_id AS aid, CAST(ts AS DATE) AS day, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE), event_id) AS rn FROM events JOIN b ON user_id = aid WHERE event_type IN ('purchase', 'error') AND CAST(ts AS DATE) > vf),
+x AS (SELECT user_id AS aid, CAST(ts AS DATE) AS day, event_id, CASE WHEN event_type = 'error' AND event_id % 20 = 0 THEN 'error' ELSE 'purchase' END AS event_type, row_number() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE), event_id) AS rn FROM events JOIN b ON user_id = aid WHERE events.event_type IN ('purchase', 'error') AND CAST(ts AS DATE) > vf),
 s AS (SELECT aid, min(rn) AS stop FROM x WHERE event_type = 'error' GROUP BY 1),
 k AS (SELECT x.* FROM x LEFT JOIN s USING (aid) WHERE stop IS NULL OR rn <= stop),
 y AS (SELECT *, last_value(CASE WHEN event_type = 'purchase' THEN 'e' || event_id END IGNORE NULLS) OVER (PARTITION BY aid ORDER BY rn) AS txt, row_number() OVER (PARTITION BY aid, day ORDER BY rn DESC) AS r FROM k),
