@@ -25,14 +25,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statuta.llm.common import likely, table, written
+from statuta.llm.common import lean, likely, table, written
 
 LENGTH, GRAM = 200, 60
 #: Window starts of a text, and bytes of several texts, that are hashed at once; suffixes that are sorted at once.
 PIECE, BUFFER, SORTED = 1 << 20, 1 << 20, 1 << 14
+#: Texts that are cut at once.
+CUT = 1000
 #: Members of a kind of cells that one task may hold, and kinds that may have more: what is broadcast of them.
 HOT, HOT_KINDS = 10_000, 4096
 
@@ -145,7 +148,7 @@ def find_cells(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, rk int, a long, w int, off int, kh long, ch long, c2 long")
+    return rows.mapInArrow(lean(run), f"doc_id {kind}, rk int, a long, w int, off int, kh long, ch long, c2 long")
 
 
 class Suffixes:
@@ -241,6 +244,12 @@ def equal_windows(group: np.ndarray, seg: list[bytes], mid: np.ndarray, low: np.
             yield found, o
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k in range(0, b.num_rows, CUT):
+            yield b.slice(k, CUT)
+
+
 def cut_out(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFrame:
     """key, seg, mid, low, high, doc_id, rk, p: each cell's text about its anchor, once for windows right of the middle and once left."""
     half = (length - gram) // 2
@@ -248,7 +257,7 @@ def cut_out(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
-        for b in batches:
+        for b in _slices(batches):
             out, at = [], []
             for k, (text, found) in enumerate(zip(b.column(2), b.column(3))):
                 t = text.as_py()
@@ -271,7 +280,7 @@ def cut_out(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFr
     kind = docs.schema["doc_id"].dataType.simpleString()
     per_doc = kinds.groupBy("doc_id", "rk").agg(F.collect_list(F.struct("a", "w", "off", "kh")).alias("found"))
     both = _with(docs, per_doc, "inner").select("doc_id", "rk", "bytes", "found")
-    return both.mapInArrow(run, f"key long, seg binary, mid int, low int, high int, doc_id {kind}, rk int, p long")
+    return both.mapInArrow(lean(run), f"key long, seg binary, mid int, low int, high int, doc_id {kind}, rk int, p long")
 
 
 def _with(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
@@ -317,7 +326,7 @@ def sort_cells(cut: DataFrame, length: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part["doc_id"].take(row).combine_chunks(), part["rk"].take(row).combine_chunks(), pa.array(p - o[new]), pa.array(p - o[last] + length)], ["doc_id", "rk", "a", "e"])
 
     kind = cut.schema["doc_id"].dataType.simpleString()
-    return cut.repartition("key").mapInArrow(run, f"doc_id {kind}, rk int, a long, e long")
+    return cut.repartition("key").mapInArrow(lean(run), f"doc_id {kind}, rk int, a long, e long")
 
 
 def _members(found: DataFrame, kinds: DataFrame, on: list[str]) -> DataFrame:
@@ -353,7 +362,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     runs = whole.unionByName(part).groupBy("doc_id", "rk").agg(F.collect_list(F.struct("a", "e")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             spans, kept = [], []
             for t, r in zip(b.column(1), b.column(2)):
                 t, joined = t.as_py(), []
@@ -365,10 +374,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
                 edges = [0, *(y for x in joined for y in x), len(t)]
                 spans.append([{"start": a, "end": e} for a, e in joined])
                 kept.append(b"".join(t[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary()), pa.array([len(t.as_py()) for t in b.column(1)], pa.int64())], ["doc_id", "spans", "kept", "n_bytes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary()), pc.binary_length(b.column(1)).cast(pa.int64())], ["doc_id", "spans", "kept", "n_bytes"])
 
     out = _with(rows, runs, "left").select("doc_id", "bytes", "runs")
-    return out.mapInArrow(cut, f"doc_id {kind}, spans array<struct<start:long,end:long>>, kept binary, n_bytes long").select("doc_id", "n_bytes", "spans", "kept")
+    return out.mapInArrow(lean(cut), f"doc_id {kind}, spans array<struct<start:long,end:long>>, kept binary, n_bytes long").select("doc_id", "n_bytes", "spans", "kept")
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
