@@ -1,11 +1,13 @@
-"""Near-duplicates of texts by the exact Jaccard similarity of their word shingles (the pipeline's near-dedup stage).
-
-A set-similarity join as in ``lines``: each text's shingles are ordered by rarity, from a corpus-wide count
-of a bounded number of hash buckets, then by hash; only prefixes are joined, under the length, prefix and
-positional filters, and every pair that stays is verified on the whole sets, so no pair is missed and none is
-linked below the threshold. Texts of equal sets fall together first. A set is first held against one holder
-of each of its prefix tokens; the join of all holders then leaves out pairs that those links connect already,
-so a large group of near copies costs links, not pairs. Before whole sets are fetched, pairs pass a filter by
+"""Near-duplicates of texts whose word shingles have a Jaccard similarity (the pipeline's near-dedup stage).
+
+Texts of equal sets fall together first. The sets' SimHash fingerprints are joined in tries (``simhash``), and
+those links are candidates: each is verified on the whole sets. Fingerprints can't show all pairs at the
+threshold, so an exact way for the rest follows, for sets that the verified links leave apart: a set-similarity
+join as in ``lines``. Each text's shingles are ordered by rarity, from a corpus-wide count of a bounded number
+of hash buckets, then by hash; only prefixes are joined, under the length, prefix and positional filters, and
+every pair that stays is verified likewise, so no pair is missed and none is linked below the threshold. A set
+is first held against one holder of each of its prefix tokens; the join of all holders then leaves out pairs
+that earlier links connect, so a large group of near copies costs links, not pairs. Before whole sets are fetched, pairs pass a filter by
 signatures: a set's is a bitmap of the parities of its hashes' counts, and the bits in which two differ are at
 most the elements that are in one set only, so no similar pair is lost.
 """
@@ -13,7 +15,7 @@ most the elements that are in one set only, so no similar pair is lost.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -68,8 +70,8 @@ def rarity(texts: DataFrame, words: int) -> np.ndarray:
     return np.minimum(1023, np.round(24 * np.log2(total + 1))).astype(np.uint64)
 
 
-def prefixes(texts: DataFrame, words: int, t: float, levels: np.ndarray) -> DataFrame:
-    """doc_id, sid (hash of the set), n (its size), sig (its signature), prefix: its rarest tokens, as many as t asks for, in order."""
+def prefixes(texts: DataFrame, words: int, t: float, levels: np.ndarray, sketch: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """doc_id, sid (hash of the set), n (its size), fps (its sketch), sig (its signature), prefix: its rarest tokens, as many as t asks for, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -81,9 +83,9 @@ def prefixes(texts: DataFrame, words: int, t: float, levels: np.ndarray) -> Data
             ids = pa.array([_set_id(h) for h in sets], pa.int64())
             odd = [np.bincount((h >> np.uint64(20)).astype(np.int64) % SIGNATURE, minlength=SIGNATURE) & 1 for h in sets]
             sig = _lists([np.packbits(x.astype(bool)).view(np.uint64) for x in odd])
-            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([len(h) for h in sets], pa.int32()), sig, _lists(cut)], ["doc_id", "sid", "n", "sig", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([len(h) for h in sets], pa.int32()), _lists([sketch(h) for h in sets]), sig, _lists(cut)], ["doc_id", "sid", "n", "fps", "sig", "prefix"])
 
-    return texts.mapInArrow(lean(run), "doc_id long, sid long, n int, sig array<long>, prefix array<long>")
+    return texts.mapInArrow(lean(run), "doc_id long, sid long, n int, fps array<long>, sig array<long>, prefix array<long>")
 
 
 def _likely_similar(pairs: DataFrame, heads: DataFrame, t: float) -> DataFrame:
@@ -113,16 +115,27 @@ def _similar(pairs: DataFrame, texts: DataFrame, known: DataFrame, words: int, t
     return both.where(F.size(F.array_intersect("u", "v")) >= least(t / (1 + t), F.size("u") + F.size("v"))).select("x", "y")
 
 
-def components(docs: DataFrame, words: int, t: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs (x, y) that the components (v, component) don't connect."""
+    of = lambda c: label.select(F.col("v").alias(c), F.col("component").alias(f"{c}c"))
+    both = pairs.join(of("x"), "x", "left").join(of("y"), "y", "left")
+    return both.where(F.coalesce("xc", "x") != F.coalesce("yc", "y")).select("x", "y")
+
+
+def components(docs: DataFrame, words: int, t: float, sketch: Callable[[np.ndarray], np.ndarray], candidates: Callable[[DataFrame], DataFrame], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, component_id: for each id the smallest that it reaches by links of similarity t or more.
 
-    Null texts are empty, and texts without words are copies of one another. Rows with a null id are left
+    sketch gives the fingerprints of a set's hashes, candidates the links (a, b) of sets (v, fps) by them. Null texts are empty, and texts without words are copies of one another. Rows with a null id are left
     out; rows that repeat an id are one id, so whatever any of them links to is shared.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).where(F.col("doc_id").isNotNull())
-    rows = materialize(prefixes(texts, words, t, rarity(texts, words)))
+    rows = materialize(prefixes(texts, words, t, rarity(texts, words), sketch))
     known = rows.groupBy("sid").agg(F.min("doc_id").alias("v"))
-    heads = materialize(rows.where("n > 0").groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n", "sig", "prefix")]))
+    heads = materialize(rows.where("n > 0").groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n", "fps", "sig", "prefix")]))
+    linked = candidates(heads.select(F.col("sid").alias("v"), "fps"))
+    linked = materialize(linked.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).distinct())
+    close = materialize(_similar(materialize(_likely_similar(linked, heads, t)), texts, known, words, t))
+    label = connected_components(close, "x", "y")
     # flat rows are moved; structs are made where they arrive
     postings = heads.select(F.col("sid").alias("id"), "n", F.posexplode("prefix").alias("i", "tok")).repartition("tok")
     postings = postings.select("tok", F.struct("id", "n", "i").alias("x"))
@@ -131,14 +144,16 @@ def components(docs: DataFrame, words: int, t: float, id_col: str = "doc_id", te
     shared = materialize(shared.where("top <> y.id").select("tok", "x", "y"))
 
     first = materialize(_pairs(shared.where((F.col("x.id") != F.col("y.id")) & _close("x", "y", t)), t))
-    sure = materialize(_similar(materialize(_likely_similar(first, heads, t)), texts, known, words, t))
+    more = _apart(first, label).join(linked, ["x", "y"], "left_anti")
+    sure = materialize(close.unionByName(_similar(materialize(_likely_similar(more, heads, t)), texts, known, words, t)))
     label = connected_components(sure, "x", "y")
     held = shared.select("tok", "x", F.col("x.id").alias("__v")).join(label.withColumnRenamed("v", "__v"), "__v", "left")
     held = held.select("tok", "x", F.coalesce("component", "__v").alias("c"))
     other = held.select("tok", F.col("x").alias("y"), F.col("c").alias("d"))
     rest = held.join(other, "tok").where((F.col("y.id") < F.col("x.id")) & (F.col("c") != F.col("d")) & _close("x", "y", t))
-    # a pair of a first holder has been judged on whole sets above
-    rest = materialize(_likely_similar(_pairs(rest, t).join(first, ["x", "y"], "left_anti"), heads, t))
+    # a pair of a first holder or of the tries has been judged on whole sets above
+    judged = first.unionByName(linked)
+    rest = materialize(_likely_similar(_pairs(rest, t).join(judged, ["x", "y"], "left_anti"), heads, t))
     found = sure.unionByName(_similar(rest, texts, known, words, t))
 
     head = lambda c, v: known.select(F.col("sid").alias(c), F.col("v").alias(v))

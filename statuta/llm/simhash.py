@@ -6,12 +6,14 @@ front: all fingerprints of one block value are a subtrie, and the subtries of on
 Inside a subtrie the node pairs are walked together, level by level: a pair (a, b) becomes (a0, b0) and
 (a1, b1) with the same number of differing bits, (a0, b1) and (a1, b0) with one more, and is dropped
 beyond the budget. A subtrie of more than ``SPLIT`` fingerprints is walked some levels down as rows, so
-that its node pairs become tasks of their own. Only a spanning forest of the links found leaves a task.
+that its node pairs become tasks of their own. Only a spanning forest of the links found leaves a task, or,
+where links are candidates that are yet to be verified, a link of each vertex.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from itertools import repeat
 
 import numpy as np
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statuta.llm import near
-from statuta.llm.common import connected_components, materialize, table
+from statuta.llm.common import connected_components, lean, materialize, table
 
 BITS = 64
 #: Fingerprints of one subtrie beyond which its node pairs are dealt to several tasks, and levels that this walks.
@@ -52,6 +54,14 @@ def _mix(h: np.ndarray, table: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def sketch(h: np.ndarray, tables: int) -> np.ndarray:
+    """The SimHash of a set of shingle hashes, for each table."""
+    if not len(h):
+        return np.zeros(tables, np.uint64)
+    ones = np.array([sum(_ones(_mix(h[i : i + CHUNK], k)) for i in range(0, len(h), CHUNK)) for k in range(tables)])
+    return np.packbits(2 * ones > len(h), axis=1, bitorder="little").view(np.uint64)[:, 0]
+
+
 def fingerprint(text: bytes | None, words: int = 3, seed: int = 42, tables: int = 1) -> np.ndarray:
     """A text's SimHash over its word shingles, for each table: a bit is set if it is in over half of the hashes."""
     from xxhash import xxh64_intdigest
@@ -100,6 +110,15 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return v[keep], v[root[keep]]
 
 
+def smallest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links a-b each vertex's own to the smallest that it links to."""
+    v, w = np.concatenate([a, b]), np.concatenate([b, a])
+    order = np.lexsort((w, v))
+    v, w = v[order], w[order]
+    first = np.concatenate([[True], v[1:] != v[:-1]])
+    return v[first], w[first]
+
+
 def walk(fp: np.ndarray, nodes: np.ndarray, depth: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of linked fingerprints. fp is sorted within each node; nodes: rows of a's and b's range and their differing bits.
 
@@ -159,8 +178,8 @@ def _rotated(fp, start: int):
     return fp if not start else F.shiftleft(fp, start).bitwiseOR(F.shiftrightunsigned(fp, BITS - start))
 
 
-def links(vertices: DataFrame, budget: int = 2, split: int = SPLIT) -> DataFrame:
-    """(a, b): a spanning forest, per task, of the pairs of vertices (tab, v, fp) of one table whose distinct fp differ in at most budget bits."""
+def links(vertices: DataFrame, budget: int = 2, split: int = SPLIT, fold: Callable = forest) -> DataFrame:
+    """(a, b): of the pairs of vertices (tab, v, fp) of one table whose distinct fp differ in at most budget bits, what fold leaves per task: a spanning forest."""
     starts = [round(BITS * k / (budget + 1)) for k in range(budget + 2)]
     passes = F.explode(F.array(*[F.struct(F.lit(k).alias("pass"), _rotated(F.col("fp"), s).alias("r"), F.shiftrightunsigned(_rotated(F.col("fp"), s), BITS - (e - s)).alias("block"), F.lit(e - s).alias("width")) for k, (s, e) in enumerate(zip(starts, starts[1:]))]))
     rows = vertices.select("v", "tab", passes.alias("x")).select("v", "tab", "x.*")
@@ -197,13 +216,34 @@ def links(vertices: DataFrame, budget: int = 2, split: int = SPLIT) -> DataFrame
                 held.append((v[i], v[j]))
                 size += len(i)
                 if size > 4 * LINKS:
-                    held = [forest(*map(np.concatenate, zip(*held)))]
+                    held = [fold(*map(np.concatenate, zip(*held)))]
                     size = len(held[0][0])
         if held:
-            a, b = forest(*map(np.concatenate, zip(*held)))
+            a, b = fold(*map(np.concatenate, zip(*held)))
             yield pd.DataFrame({"a": a, "b": b})
 
-    return rows.repartition("tab", "pass", "block", "node", "mask").mapInPandas(run, "a long, b long")
+    return rows.repartition("tab", "pass", "block", "node", "mask").mapInPandas(lean(run), "a long, b long")
+
+
+def _linked(same: DataFrame, budget: int, split: int, fold: Callable = forest) -> DataFrame:
+    """(a, b): links of vertices (v, fps), each of fingerprints of its own, by any table."""
+    tables = same.select("v", F.posexplode("fps").alias("tab", "fp"))
+    # texts of different fingerprints may have equal ones in a table
+    one = tables.groupBy("tab", "fp").agg(F.min("v").alias("u"))
+    equal = tables.join(one, ["tab", "fp"]).where("v <> u").select(F.col("v").alias("a"), F.col("u").alias("b"))
+    return links(one.select(F.col("u").alias("v"), "tab", "fp"), budget, split, fold).unionByName(equal)
+
+
+def candidates(sets: DataFrame, budget: int, split: int = SPLIT) -> DataFrame:
+    """(a, b): links of sets (v, fps) that are to be verified: for each set one of each table and pass it has any in."""
+    same = sets.groupBy("fps").agg(F.min("v").alias("u"))
+    equal = sets.join(same, "fps").where("v <> u").select(F.col("v").alias("a"), F.col("u").alias("b"))
+    return equal.unionByName(_linked(same.select(F.col("u").alias("v"), "fps"), budget, split, smallest))
+
+
+def _similar(docs: DataFrame, words: int, similar: float, budget: int, tables: int, split: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, component_id by the similarity of sets: links of the tries, verified, then those they can't show (see ``near``)."""
+    return near.components(docs, words, similar, partial(sketch, tables=tables), partial(candidates, budget=budget, split=split), id_col, text_col)
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, budget: int = 2, tables: int = 1, split: int = SPLIT, similar: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -213,11 +253,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, budget: int
     shingles independently. Null texts are empty; every text without words has fingerprints zero and links
     like any other. A row with a null id gets its fingerprint, no links, and a null component. Rows that
     repeat an id are vertices of one id, so whatever any of them links to is shared. An empty table gives
-    no rows; other columns are not read. With ``similar``, texts link instead if their sets of shingles
-    have that Jaccard similarity (see ``near``).
+    no rows; other columns are not read. With ``similar``, those links are candidates, and texts link if their
+    sets of shingles have that Jaccard similarity, whether or not their fingerprints show it (see ``near``).
     """
     if similar is not None:
-        found = near.components(docs, words, similar, id_col, text_col)
+        found = _similar(docs, words, similar, budget, tables, split, id_col, text_col)
         base = fingerprints(docs, words, seed, 1, id_col, text_col).join(found, "doc_id", "left")
         return base.select("doc_id", F.lower(F.lpad(F.hex(F.col("fps")[0]), 16, "0")).alias("fingerprint"), "component_id")
     base = materialize(fingerprints(docs, words, seed, tables, id_col, text_col))
@@ -226,12 +266,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, budget: int
     # an id that stands on several fingerprints joins their vertices
     repeated = known.groupBy("doc_id").agg(F.min("fps").alias("lo"), F.max("fps").alias("hi")).where("lo <> hi").select("doc_id")
     edges = known.join(repeated, "doc_id").join(same, "fps").select(F.col("doc_id").alias("a"), F.col("v").alias("b"))
-    each = same.select("v", F.posexplode("fps").alias("tab", "fp"))
-    if tables > 1:  # texts of different fingerprints may have equal ones in a table
-        one = each.groupBy("tab", "fp").agg(F.min("v").alias("u"))
-        edges = edges.unionByName(each.join(one, ["tab", "fp"]).where("v <> u").select(F.col("v").alias("a"), F.col("u").alias("b")))
-        each = one.select(F.col("u").alias("v"), "tab", "fp")
-    label = connected_components(links(each, budget, split).unionByName(edges))
+    if tables > 1:
+        found = _linked(same, budget, split)
+    else:
+        found = links(same.select("v", F.posexplode("fps").alias("tab", "fp")), budget, split)
+    label = connected_components(found.unionByName(edges))
     component = same.join(label, "v", "left").select("fps", F.coalesce("component", "v").alias("component_id"))
     out = base.join(component, "fps", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
@@ -245,7 +284,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are nobody's copies and all stay. An empty table gives no rows.
     """
     if how.get("similar") is not None:
-        found = near.components(docs, how["words"], how["similar"], id_col, text_col)
+        found = _similar(docs, id_col=id_col, text_col=text_col, **({"words": 3, "budget": 2, "tables": 1, "split": SPLIT} | how))
     else:
         found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
     drop = found.where("component_id < doc_id").select(F.col("doc_id").alias("__id")).distinct()

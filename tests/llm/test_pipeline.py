@@ -4,8 +4,10 @@ import os
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from statuta.llm import decontamination, lines, packing, simhash, toxicity
+from statuta.llm import decontamination, lines, near, packing, simhash, toxicity
 from tests.llm import edge
 
 SF = "/root/testdata/sf0.001"
@@ -46,6 +48,22 @@ def test_near_dedup_links_at_the_threshold_and_not_below(spark):
     assert corpus_pipeline.near_dedup(spark, df.limit(0), SF).count() == 0
 
 
+def test_near_dedup_verifies_links_of_the_tries(spark, monkeypatch):
+    """Without the exact way for the rest, the tries' links find near copies; loose links that aren't similar go."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+    rows = []
+    for k in range(20):
+        w = [word() for _ in range(300)]
+        rows += [(3 * k, " ".join(w)), (3 * k + 1, " ".join(w[:-1] + [word()])), (3 * k + 2, " ".join(w[:150]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {k for k in range(60) if k % 3 != 1}
+    monkeypatch.setattr(near, "_pairs", lambda postings, t: postings.where("false").select(F.col("x.id").alias("x"), F.col("y.id").alias("y")))
+    assert {x["doc_id"] for x in corpus_pipeline.near_dedup(spark, df, SF).collect()} == want
+    every = {"words": 5, "similar": 0.8, "tables": 1, "budget": 24}
+    assert {x["doc_id"] for x in simhash.keep_first(df, **every).collect()} >= want
+
+
 def test_stages_take_every_awkward_row(spark, tmp_path):
     """Nulls, empty texts, repeated rows, clashing columns, an empty table: each stage runs, and keeps its columns."""
     columns = ["doc_id", "text", "lang", "source", "n_chars", "item_id", "toks", "line"]
