@@ -5,13 +5,14 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from statuta.llm import decontamination, licenses, lines, packing, repeats, secrets, simhash, tokens, topk, toxicity
+from statuta.llm import common, decontamination, licenses, lines, packing, repeats, secrets, simhash, tokens, topk, toxicity
 from tests.llm import edge
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -367,6 +368,22 @@ def test_line_dedup_of_a_token_that_most_lines_hold(spark, monkeypatch):
     assert got == {(i, n) for i, _, n in want} and got
 
 
+@pytest.mark.parametrize("counted", [1, 1 << 40])
+def test_line_dedup_writes_prefixes_only(spark, monkeypatch, counted):
+    """Whole sets stay off the disks, and whatever texts are counted for the order, the result is the same."""
+    monkeypatch.setattr(lines, "COUNTED", counted, raising=False)
+    rng = np.random.RandomState(2)
+    texts = ["\n".join(" ".join(f"w{x}" for x in rng.randint(0, 10**6, 200)) for _ in range(5)) for _ in range(40)]
+    texts += [t.replace(t.split(" ")[100], "other") for t in texts[:10]]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    made = common.folders()
+    got = {(r["doc_id"], int(n)) for r in lines.summary(df).collect() for n in r["removed"].split(",") if n}
+    assert got == {(i, n) for i, _, n in slow_lines(rows)} and len(got) == 50
+    sizes = sum(f.stat().st_size for at in common._FOLDERS[made:] for f in Path(at.removeprefix("file:")).rglob("*.parquet"))
+    assert sizes < 0.6 * sum(map(len, texts))
+
+
 BASE = [
     ("assign", re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
