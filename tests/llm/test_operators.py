@@ -384,6 +384,22 @@ def test_line_dedup_writes_prefixes_only(spark, monkeypatch, counted):
     assert sizes < 0.6 * sum(map(len, texts))
 
 
+@pytest.mark.parametrize("few", [0, 3, 32])
+def test_line_dedup_verifies_small_groups_once(spark, monkeypatch, few):
+    """Sets are held against earliest holders only past the few first of a token; the result is the same."""
+    monkeypatch.setattr(lines, "FEW", few)
+    monkeypatch.setattr(lines, "HOT", 1000)
+    rng = np.random.RandomState(3)
+    bases = [[f"w{x}" for x in rng.randint(0, 10**6, 60)] for _ in range(6)]
+    rows = [(k, " ".join(f"x{k}" if k >= 6 and n == k // 6 * 5 else w for n, w in enumerate(bases[k % 6]))) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    made = common.folders()
+    got = {(r["doc_id"], int(n)) for r in lines.summary(df).collect() for n in r["removed"].split(",") if n}
+    assert got == {(i, n) for i, _, n in slow_lines(rows)} and len(got) == 54
+    first = next(at for at in common._FOLDERS[made:] if "/step-" in at)
+    assert (spark.read.parquet(first).count() == 0) == (few == 32)
+
+
 BASE = [
     ("assign", re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
