@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, on small tables with awkward rows."""
 
 import hashlib
+import math
 import re
 import time
 import zlib
@@ -400,6 +401,20 @@ def test_line_dedup_verifies_small_groups_once(spark, monkeypatch, few):
     assert (spark.read.parquet(first).count() == 0) == (few == 32)
 
 
+def test_line_dedup_counts_every_text(spark, monkeypatch):
+    """The order of tokens and the parts of hot ones come from the shingles of all texts."""
+    rng = np.random.RandomState(4)
+    rows = [(k, "\n".join(" ".join(f"w{x}" for x in rng.randint(0, 10**6, n)) for n in (3, 9, 30))) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seen, order, deal = [], lines.ordered, lines.parts_of
+    monkeypatch.setattr(lines, "ordered", lambda h, levels: seen.append(levels) or order(h, levels))
+    monkeypatch.setattr(lines, "parts_of", lambda tok, levels: seen.append(levels) or deal(tok, levels))
+    lines.summary(df).collect()
+    count = Counter((h % 2**64) >> 64 - lines.BUCKET_BITS for r in lines.with_tokens(lines.lines(df)).collect() for h in r["toks"])
+    assert sum(count.values()) == 60 * (1 + 5 + 26)
+    assert seen[0] == seen[1] == [min(1023, round(lines.STEPS * math.log2(count[b] + 1))) for b in range(1 << lines.BUCKET_BITS)]
+
+
 BASE = [
     ("assign", re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
