@@ -112,3 +112,13 @@ def test_stages(spark, tmp_path):
     left = [x for x in os.listdir(spark.conf.get("spark.checkpoint.dir")) if x.startswith("pipeline-")]
     assert all(os.listdir(f"{spark.conf.get('spark.checkpoint.dir')}/{x}") == ["3_decontamination"] for x in left) and left
     assert packing.pack(before.limit(0)).count() == 0
+
+
+def test_line_dedup_stage_counts_every_text(spark, monkeypatch):
+    """The stage's rarity order is of all lines of all documents."""
+    rows = [(k, f"a{k} b{k} c{k}\nd{k} e{k} f{k} g{k} h{k} i{k}", "en", "s", 1) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    counted, count = [], lines.rarity
+    monkeypatch.setattr(lines, "rarity", lambda rows: counted.append(rows.count()) or count(rows))
+    assert corpus_pipeline.line_dedup(spark, df, "").count() == 40
+    assert counted == [80]
