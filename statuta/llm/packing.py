@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int, id_col: str
             )
 
     ids = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"doc_id {ids}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(run, byte_tokens), f"doc_id {ids}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_values(value: np.ndarray, limit: int) -> np.ndarray:

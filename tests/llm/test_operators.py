@@ -528,3 +528,42 @@ def test_proven_characters_split_alike():
         if not odd(s):
             assert find(s) == [s[a:b] for _, (a, b) in t._t.pre_tokenizer.pre_tokenize_str(s)]
             assert t.count(s) == len(t._encode(s))
+
+
+def test_proven_characters_split_alike_in_one_call(monkeypatch):
+    """The encoder of whole texts puts each in the class that the library puts it in; proven texts need no tables."""
+    import regex
+    import tiktoken
+
+    t = tokens.byte_tokens("byte_bpe_50k.json")
+    proven = [c for c in map(chr, [*range(0x558), *range(0x2010, 0x2065), *range(0x20A0, 0x20C0)]) if not regex.search(tokens._PROVEN, c)]
+    whole = [(x + c).encode() for c in proven for x in ("a", "1", "!", " ", "\n")]
+    ranks = {bytes([k]): k for k in range(256)}
+    for s in whole:
+        for k in range(2, len(s) + 1):
+            ranks.setdefault(s[:k], len(ranks))
+    one = tiktoken.Encoding("classes", pat_str=tokens.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for s in map(bytes.decode, whole):
+        assert (len(one.encode_ordinary(s)) == 1) == (len(t._t.pre_tokenizer.pre_tokenize_str(s)) == 1), s
+    assert len(proven) > 1400
+    texts = ["", "it's  I'LL\n\n 12ab34 ... é ñandú\t x ", "\x1c\x1f \x85\xa0 a", "“x” – €5", "a" * 3000, " " * 999 + "b", " " * 1000 + "b", "word " * 5000]
+    want = [tokens._little(t._encode(x)) for x in texts]
+    assert [t.id_bytes(x) for x in texts] == want
+    monkeypatch.setattr(t, "_find", None)
+    assert [t.id_bytes(x) for x in texts if len(x) != 1001] == [w for x, w in zip(texts, want) if len(x) != 1001]
+
+
+def test_workers_drop_what_other_operators_held():
+    """A lean task frees what earlier ones made the worker keep, unless it uses it."""
+    made = []
+    keep = common.held(lambda x: made.append(x) or x)
+    run = lambda *uses: list(common.lean(lambda batches: map(str, batches), *uses)(iter([7])))
+    try:
+        for uses, times in (((keep,), 1), ((), 2), ((keep,), 2)):
+            keep(7)
+            assert run(*uses) == ["7"]
+            keep(7)
+            assert len(made) == times
+        assert tokens.byte_tokens in common._HELD
+    finally:
+        common._HELD.remove(keep)
