@@ -1,10 +1,11 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration (operator 6).
 
-Training reads a bounded sample of labelled rows: the ``SAMPLE`` with the smallest hash of their id, of
-those outside the held-out third. From them come a lexicon (words, and word beginnings, whose documents
-are toxic far more often than the rest), the trees and the calibration. Sample rows are split in two:
-each half's lexicon makes the other half's features, and each half's trees are calibrated on the other
-half, so nothing is judged by what was fitted to it. Everything else covers every row and every text.
+Training reads every labelled row outside the held-out third. From them come a lexicon (words, and word
+beginnings, whose documents are toxic far more often than the rest), the trees and the calibration. These
+rows are split in two: each half's lexicon makes the other half's features, and each half's trees are
+calibrated on the other half, so nothing is judged by what was fitted to it. The lexicon's counts and the
+features' quantiles are made in Spark; of a labelled row the driver gets a byte for each feature, its bin.
+Trees sum whole numbers, so no order of rows changes them.
 """
 
 from __future__ import annotations
@@ -20,15 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.llm.common import materialize, table
+from statuta.llm.common import lean, likely, materialize, table
 
-#: Labelled rows that are learned from, and lexicon entries, at most.
-SAMPLE, ENTRIES = 20_000, 4_000
+#: Lexicon entries, at most.
+ENTRIES = 4_000
 #: Toxic documents that an entry needs, and its least log odds over the base rate.
 SUPPORT, ODDS = 4, 2.0
 #: Words around a second-person pronoun that count as near it.
 NEAR = 5
 THRESHOLD = 0.7
+#: Gradients are whole multiples of one part in so many; rows of which sums are made at once.
+UNIT, CHUNK = 1 << 24, 1 << 16
+#: Bits of a feature's mantissa that its quantiles don't look at.
+COARSE = 44
 
 # Second-person words of four languages.
 SECOND_PERSON = frozenset(x.encode() for x in "you your yours yourself u ur du dich dir dein deine deinen deiner ihr euch euer eure tu te toi ton ta tes vous votre vos tú ti tuyo tus usted ustedes vosotros vuestro".split())
@@ -114,59 +119,88 @@ class Trees:
         self.count, self.depth, self.rate, self.bins, self.smallest, self.ridge = count, depth, rate, bins, smallest, ridge
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
+        edges = [np.unique(np.quantile(c, quantiles(self.bins))) for c in x.T]
+        return self.fit_bins(binned(x, edges), y, edges)
+
+    def fit_bins(self, b: np.ndarray, y: np.ndarray, edges: list[np.ndarray]) -> Trees:
+        """b: a row for each feature, of the bins of all samples. Beside it a sample takes some twenty bytes."""
+        self.edges = edges
         p = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
         self.base = math.log(p / (1 - p))
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) for c in x.T]
-        binned = self._bin(x)
-        score = np.full(len(y), self.base)
+        score = np.full(b.shape[1], self.base, np.float32)
         self.trees = []
         for _ in range(self.count):
-            p = 1 / (1 + np.exp(-score))
-            tree, leaf = self._grow(binned, p - y, p * (1 - p))
-            self.trees.append(tree)
-            score += tree[2][leaf]
+            self.trees.append(self._grow(b, y, score))
         return self
 
-    def _bin(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(e, c, side="right") for e, c in zip(self.edges, x.T)], axis=1)
-
-    def _grow(self, b: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    def _grow(self, b: np.ndarray, y: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A tree for the samples' scores, which it then raises."""
         size, width = 1 << self.depth, self.bins + 1
-        feature, cut = np.zeros(size, int), np.full(size, width)  # a node without a split sends all rows left
-        node = np.ones(len(g), int)
+        feature, cut = np.zeros(size, int), np.full(size, width)  # a node without a split sends all samples left
+        parts = [slice(i, i + CHUNK) for i in range(0, b.shape[1], CHUNK)]
+        node = np.ones(b.shape[1], np.uint8)
+        g, h = np.empty(b.shape[1], np.int32), np.empty(b.shape[1], np.int32)
+        for at in parts:
+            p = 1 / (1 + np.exp(-score[at].astype(float)))
+            g[at], h[at] = np.rint((p - y[at]) * UNIT), np.rint(p * (1 - p) * UNIT)
         for level in range(self.depth):
             first = 1 << level
-            k = node - first
+            gs, hs = np.zeros((len(b), first * width)), np.zeros((len(b), first * width))
+            for at in parts:
+                k, gk, hk = (node[at].astype(np.int64) - first) * width, g[at].astype(float), h[at].astype(float)
+                for f in range(len(b)):
+                    key = k + b[f, at]
+                    gs[f] += np.bincount(key, gk, first * width)
+                    hs[f] += np.bincount(key, hk, first * width)
             best = np.full(first, 1e-6)
-            for f in range(b.shape[1]):
-                key = k * width + b[:, f]
-                gs = np.bincount(key, g, first * width).reshape(first, width).cumsum(axis=1)
-                hs = np.bincount(key, h, first * width).reshape(first, width).cumsum(axis=1)
-                gt, ht = gs[:, -1:], hs[:, -1:]
-                gain = gs**2 / (hs + self.ridge) + (gt - gs) ** 2 / (ht - hs + self.ridge) - gt**2 / (ht + self.ridge)
-                gain[(hs < self.smallest) | (ht - hs < self.smallest)] = 0
+            for f in range(len(b)):
+                left, weight = (x[f].reshape(first, width).cumsum(axis=1) / UNIT for x in (gs, hs))
+                gt, ht = left[:, -1:], weight[:, -1:]
+                gain = left**2 / (weight + self.ridge) + (gt - left) ** 2 / (ht - weight + self.ridge) - gt**2 / (ht + self.ridge)
+                gain[(weight < self.smallest) | (ht - weight < self.smallest)] = 0
                 at = gain.argmax(axis=1)
                 top = gain[np.arange(first), at]
                 better = top > best
                 best[better] = top[better]
                 feature[first : 2 * first][better] = f
                 cut[first : 2 * first][better] = at[better]
-            node = 2 * node + (b[np.arange(len(b)), feature[node]] > cut[node])
-        leaf = node - size
-        gs, hs = np.bincount(leaf, g, size), np.bincount(leaf, h, size)
-        return (feature, cut, -self.rate * gs / (hs + self.ridge)), leaf
+            for at in parts:
+                own = node[at]
+                node[at] = 2 * own + (b[:, at][feature[own], np.arange(len(own))] > cut[own])
+        gs, hs = np.zeros(size), np.zeros(size)
+        for at in parts:
+            gs += np.bincount(node[at] - size, g[at], size)
+            hs += np.bincount(node[at] - size, h[at], size)
+        value = -self.rate * (gs / UNIT) / (hs / UNIT + self.ridge)
+        for at in parts:
+            score[at] += value[node[at] - size].astype(np.float32)
+        return feature, cut, value
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        b, rows = self._bin(x), np.arange(len(x))
-        out = np.full(len(x), self.base)
-        for feature, cut, value in self.trees:
-            node = np.ones(len(x), int)
-            for _ in range(self.depth):
-                node = 2 * node + (b[rows, feature[node]] > cut[node])
-            out += value[node - len(value)]
+        return self.score_bins(binned(x, self.edges))
+
+    def score_bins(self, b: np.ndarray) -> np.ndarray:
+        out = np.full(b.shape[1], self.base)
+        for i in range(0, b.shape[1], CHUNK):
+            part = b[:, i : i + CHUNK]
+            rows = np.arange(part.shape[1])
+            for feature, cut, value in self.trees:
+                node = np.ones(len(rows), int)
+                for _ in range(self.depth):
+                    node = 2 * node + (part[feature[node], rows] > cut[node])
+                out[i : i + CHUNK] += value[node - len(value)]
         return out
 
 
+def quantiles(bins: int) -> np.ndarray:
+    return np.linspace(0, 1, bins + 1)[1:-1]
+
+
+def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """For each feature a row of the bins of x's rows."""
+    return np.stack([np.searchsorted(e, c, side="right").astype(np.uint8) for e, c in zip(edges, x.T)])
+
+
 def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: knots of a rising step function from scores to rates."""
     at, where = np.unique(score, return_inverse=True)
@@ -182,17 +216,21 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Scores texts; without labels of both kinds every score is the base rate."""
 
-    def __init__(self, weights: dict[bytes, float], x: np.ndarray, y: np.ndarray, half: np.ndarray) -> None:
+    def __init__(self, weights: dict[bytes, float], b: np.ndarray, y: np.ndarray, half: np.ndarray, edges: list[np.ndarray]) -> None:
         self.weights, self.trees, self.rate = weights, None, float(y.mean()) if len(y) else 0.0
-        if len(np.unique(y)) < 2:
+        if y.all() or not y.any():
             return
-        self.trees = Trees().fit(x, y)
-        out = np.full(len(y), np.nan)
+        self.trees = Trees().fit_bins(b, y, edges)
+        out = np.full(len(y), np.nan, np.float32)
         for k in (0, 1):
-            if len(np.unique(y[half != k])) == 2 and (half == k).any():
-                out[half == k] = Trees().fit(x[half != k], y[half != k]).score(x[half == k])
+            mine, other = half == k, half != k
+            if other.any() and not y[other].all() and y[other].any() and mine.any():
+                out[mine] = Trees().fit_bins(b[:, other], y[other], edges).score_bins(b[:, mine])
         ok = ~np.isnan(out)
-        self.knots, self.rates = isotonic(out[ok], y[ok]) if ok.any() else (np.array([0.0]), np.array([self.rate]))
+        at, rates = isotonic(out[ok].astype(float), y[ok]) if ok.any() else (np.array([0.0]), np.array([self.rate]))
+        # a step is told by its ends
+        ends = np.concatenate([[True], rates[1:] != rates[:-1]]) | np.concatenate([rates[1:] != rates[:-1], [True]])
+        self.knots, self.rates = at[ends], rates[ends]
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Calibrated rates; a thousandth of the trees' own probability keeps their order inside a step."""
@@ -206,18 +244,19 @@ def remainder(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3
 
 
-def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """doc_id, text, y, half: at most SAMPLE labelled rows outside the held-out third, one for an id."""
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """doc_id, text, y, half: every labelled row outside the held-out third, one for an id."""
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y is not null").where(remainder(F.col("doc_id")) != 1)
-    few = known.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.join(F.broadcast(few), "doc_id")  # SAMPLE rows of two numbers
+    known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(remainder(F.col("doc_id")) != 1)
+    # few texts without a label are moved
+    rows = likely(rows, known.select("doc_id"), ["doc_id"]).join(known, "doc_id")
     rows = rows.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     return rows.withColumn("half", (F.shiftright(F.crc32(F.col("doc_id").cast("string")), 8) % 2).cast("int"))
 
 
 def learn_lexicon(rows: DataFrame) -> tuple[dict[bytes, float], list[dict[bytes, float]]]:
-    """Weights from all sample rows, and from each half."""
+    """Weights from all labelled rows, and from each half."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n: dict[tuple[int, int], Counter] = {(h, y): Counter() for h in (0, 1) for y in (0, 1)}
@@ -239,7 +278,7 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[bytes, float], list[dict[bytes,
         return F.sum(F.when((F.col("y") == y) & (F.col("half") == half), F.col("n")).otherwise(0))
 
     size = {(r["half"], r["y"]): r["n"] for r in rows.groupBy("half", (F.col("y") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
-    counts = rows.select("text", (F.col("y") > 0).cast("int").alias("y"), "half").mapInPandas(count, "term binary, half int, y int, n long")
+    counts = rows.select("text", (F.col("y") > 0).cast("int").alias("y"), "half").mapInPandas(lean(count), "term binary, half int, y int, n long")
     counts = counts.groupBy("term").agg(*[total(y, h).alias(f"n{y}{h}") for y in (0, 1) for h in (0, 1)]).where(F.col("n10") + F.col("n11") >= SUPPORT)
     odds = F.log((F.col("n10") + F.col("n11") + 0.5) / (F.col("n00") + F.col("n01") + 0.5))
     toxic, clean = (sum(size.get((h, y), 0) for h in (0, 1)) for y in (1, 0))
@@ -259,19 +298,60 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[bytes, float], list[dict[bytes,
     return weights((0, 1), SUPPORT), [weights((h,), SUPPORT // 2) for h in (0, 1)]
 
 
+def _edges(rows: DataFrame, bins: int) -> list[np.ndarray]:
+    """For each feature of rows (x, by rows of ``FEATURES``) the quantiles of its values, which are cut to some bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.concatenate([_matrix(v.as_py()) for v in b.column(0)]) if b.num_rows else np.empty((0, len(FEATURES)))
+            for f, c in enumerate(x.T):
+                key, n = np.unique(np.ascontiguousarray(c).view(np.int64) >> COARSE, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), f, np.int32)), pa.array(key), pa.array(n)], ["f", "key", "n"])
+
+    # as many rows as cut values: some thousands a feature, whatever the number of rows
+    got = rows.select("x").mapInArrow(lean(run), "f int, key long, n long").groupBy("f", "key").agg(F.sum("n").alias("n")).toPandas().sort_values(["f", "key"])
+    edges = []
+    for f in range(len(FEATURES)):
+        own = got[got["f"] == f]
+        upto = own["n"].to_numpy(np.int64).cumsum()
+        at = np.searchsorted(upto, quantiles(bins) * upto[-1]) if len(upto) else []
+        edges.append(np.unique(own["key"].to_numpy(np.int64)[at] << COARSE).view(np.float64))
+    return edges
+
+
+def _matrix(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.float64).reshape(-1, len(FEATURES))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    rows = materialize(sampled(docs, labels, id_col, text_col, label_col))
+    rows = materialize(labelled(docs, labels, id_col, text_col, label_col))
     weights, halves = learn_lexicon(rows)
 
-    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The features of a batch's rows, with their labels and halves, as bytes of one row."""
         lexicons = [Lexicon(w) for w in halves]
         for b in batches:
-            yield pd.DataFrame({"y": b["y"], "half": b["half"], "x": [features(t, lexicons[1 - h]) for t, h in zip(b["text"], b["half"])], "doc_id": b["doc_id"]})
+            y, half = b.column(1).to_numpy() > 0, b.column(2).to_numpy()
+            x = np.array([features(t.as_py(), lexicons[1 - h]) for t, h in zip(b.column(0), half)], float)
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in (x, y.astype(np.uint8), half.astype(np.uint8))], ["x", "y", "half"])
+
+    made = materialize(rows.select("text", "y", "half").mapInArrow(lean(make), "x binary, y binary, half binary"))
+    edges = _edges(made, Trees().bins)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bins = [binned(_matrix(v.as_py()), edges).T.tobytes() for v in b.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.binary()), b.column(1), b.column(2)], b.schema.names)
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    got = rows.mapInPandas(make, f"y int, half int, x array<double>, doc_id {kind}").toPandas().sort_values("doc_id")  # SAMPLE rows of some numbers
-    x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
-    return Model(weights, x, (got["y"].to_numpy() > 0).astype(float), got["half"].to_numpy())
+    got = made.mapInArrow(lean(cut), "x binary, y binary, half binary").toPandas()  # a byte for each feature of a labelled row
+    y, half = (np.frombuffer(b"".join(got.pop(c)), np.uint8) for c in ("y", "half"))
+    b = np.empty((len(FEATURES), len(y)), np.uint8)
+    end = 0
+    for raw in got.pop("x"):
+        part = np.frombuffer(raw, np.uint8).reshape(-1, len(FEATURES))
+        b[:, end : end + len(part)] = part.T
+        end += len(part)
+    return Model(weights, b, y, half, edges)
 
 
 def _scores(model: Model, column: pa.Array, lexicon: Lexicon) -> np.ndarray:
@@ -292,7 +372,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: s
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_scores(model, b.column(1), lexicon), pa.float64())], ["doc_id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"doc_id {kind}, score double")
     return out.select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -305,7 +385,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, t
         for b in batches:
             yield b.filter(pa.array(_scores(model, b.column(k), lexicon) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

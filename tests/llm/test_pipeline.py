@@ -122,3 +122,15 @@ def test_line_dedup_stage_counts_every_text(spark, monkeypatch):
     monkeypatch.setattr(lines, "rarity", lambda rows: counted.append(rows.count()) or count(rows))
     assert corpus_pipeline.line_dedup(spark, df, "").count() == 40
     assert counted == [80]
+
+
+def test_toxicity_stage_learns_from_every_labelled_row(spark, monkeypatch, tmp_path):
+    """All labels outside the held-out third, whatever their number: there was a cap of 20,000."""
+    n = 32_000
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('word ', id % 97, if(id % 10 = 0, ' vile', ' fine')) as text")
+    docs.selectExpr("doc_id", "1 as quality", "int(doc_id % 10 = 0) as toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    read, learn = [], toxicity.learn_lexicon
+    monkeypatch.setattr(toxicity, "learn_lexicon", lambda rows: read.append(rows.count()) or learn(rows))
+    left = corpus_pipeline.without_toxic(spark, docs, str(tmp_path))
+    assert read == [docs.where("crc32(cast(doc_id as string)) % 3 <> 1").count()] and read[0] > 20_000
+    assert left.where("text like '%vile'").count() == 0 and left.count() == n - n // 10
