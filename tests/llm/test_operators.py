@@ -415,6 +415,20 @@ def test_line_dedup_counts_every_text(spark, monkeypatch):
     assert seen[0] == seen[1] == [min(1023, round(lines.STEPS * math.log2(count[b] + 1))) for b in range(1 << lines.BUCKET_BITS)]
 
 
+def test_line_dedup_sorts_plain_numbers_and_counts_in_few_groups(spark, monkeypatch):
+    """Tokens to be sorted can't be null, so they are sorted unboxed; a group of the count holds several buckets."""
+    levels = [(b * 37) % 1024 for b in range(1 << lines.BUCKET_BITS)]
+    hashes = [0, -1, 1, 2**63 - 1, -(2**63), 123456789 << 32, -(987654321 << 30)]
+    df = spark.range(1).select(lines.ordered(F.array(*[F.lit(h).cast("long") for h in hashes]), levels).alias("keys"))
+    assert not df.schema["keys"].dataType.containsNull
+    assert df.first()["keys"] == [levels[(h % 2**64) >> 64 - lines.BUCKET_BITS] << 53 | (h % 2**64) >> 11 for h in hashes]
+    rows, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: rows.append(collect(self)) or rows[-1])
+    text = "\n".join(" ".join(f"w{k * n}" for k in range(300)) for n in range(1, 60))
+    lines.rarity(lines.lines(spark.createDataFrame([(1, text)], "doc_id long, text string")))
+    assert len(rows[0]) <= (1 << lines.BUCKET_BITS) // 8
+
+
 BASE = [
     ("assign", re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
